@@ -4,10 +4,11 @@ Conditional least squares without a constant: Spark sums the lag products per ke
 system is solved per key, and the recursion runs on one row per key.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,80 +20,89 @@ BATCH_HORIZON = 10
 
 
 def lag_features(
-    series: DataFrame, key: str = "key", ts: str = "ts", value: str = "total", lags: int = LAGS
+    series: DataFrame, by: Sequence[str] = ("key",), ts: str = "ts", value: str = "total", lags: int = LAGS
 ) -> DataFrame:
-    """First difference ``d`` with its predecessors ``l1`` to ``lp``; rows of a key's start have null lags."""
-    in_order = W.partitionBy(key).orderBy(ts)
+    """First difference ``d`` with its predecessors ``l1`` to ``lp``; rows of a series' start have null lags."""
+    in_order = W.partitionBy(*by).orderBy(ts)
     differences = series.withColumn("d", F.col(value) - F.lag(value).over(in_order))
     return differences.withColumns({f"l{i}": F.lag("d", i).over(in_order) for i in range(1, lags + 1)})
 
 
-def _pairs(lags: int) -> list[tuple[int, int]]:
-    return [(i, j) for i in range(1, lags + 1) for j in range(i, lags + 1)]
+def lag_products(target: Column, past: Sequence[Column]) -> dict[str, Column]:
+    """Row count ``n`` and lag products ``g_i_j``, ``r_i`` that a difference adds to the normal equations.
 
+    Zero while the oldest lag is missing. Sums run in double: exact for integers below 2**53, and
+    never overflowing beyond.
+    """
+    complete = past[-1].isNotNull()
+    past = [p.cast("double") for p in past]
+    lags = range(1, len(past) + 1)
+    products = {f"g_{i}_{j}": past[i - 1] * past[j - 1] for i in lags for j in lags if j >= i}
+    products |= {f"r_{i}": past[i - 1] * target.cast("double") for i in lags}
+    terms = {name: F.when(complete, product).otherwise(0.0) for name, product in products.items()}
+    return {"n": complete.cast("bigint")} | terms
 
-def normal_equations(
-    series: DataFrame, key: str = "key", ts: str = "ts", value: str = "total", lags: int = LAGS
-) -> DataFrame:
-    """Per key: rows with all lags, lag products ``g_i_j`` and ``r_i``, and the series' end.
 
-    Sums run in double, exact for integers below 2**53 and never overflowing beyond.
-    """
-    features = lag_features(series, key, ts, value, lags)
-    last_lag = F.col(f"l{lags}").isNotNull()
-
-    def product(a: str, b: str):
-        return F.coalesce(F.sum(F.when(last_lag, F.col(a).cast("double") * F.col(b).cast("double"))), F.lit(0.0))
-
-    # The newest difference and its lags are the start of the forecast recursion.
-    tail = F.array(F.col("d"), *[F.col(f"l{i}") for i in range(1, lags)]).cast("array<double>")
-    last = F.struct(F.col(ts).alias("last_ts"), F.col(value).cast("double").alias("last_value"), tail.alias("tail"))
-    sums = [product(f"l{i}", f"l{j}").alias(f"g_{i}_{j}") for i, j in _pairs(lags)]
-    sums += [product(f"l{i}", "d").alias(f"r_{i}") for i in range(1, lags + 1)]
-    return (
-        features.groupBy(key)
-        .agg(F.count(F.when(last_lag, 1)).alias("n"), *sums, F.max_by(last, F.col(ts)).alias("_last"))
-        .select("*", "_last.*")
-        .drop("_last")
-    )
+def _past(lags: int) -> list[Column]:
+    return [F.col(f"l{i}") for i in range(1, lags + 1)]
 
 
-def _solve(lags: int, key: str):
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
+def recent(lags: int) -> Column:
+    """The newest difference and those before it, where the forecast recursion starts."""
+    return F.array(F.col("d"), *_past(lags)[:-1]).cast("array<double>")
 
-        for batch in batches:
-            phi, status = [], []
-            for row in batch.to_dict("records"):
-                gram = np.array([[row[f"g_{min(i, j)}_{max(i, j)}"] for j in range(1, lags + 1)] for i in range(1, lags + 1)])
-                target = np.array([row[f"r_{i}"] for i in range(1, lags + 1)])
-                solved, state = solve_lags(gram, target, row["n"])
-                phi.append(None if solved is None else solved.tolist())
-                status.append(state)
-            yield pd.DataFrame({
-                key: batch[key], "n": batch["n"], "phi": phi, "status": status,
-                "last_ts": batch["last_ts"], "last_value": batch["last_value"], "tail": batch["tail"],
-            })
 
-    return solve
+def normal_equations(
+    series: DataFrame, by: Sequence[str] = ("key",), ts: str = "ts", value: str = "total", lags: int = LAGS
+) -> DataFrame:
+    """Per series: rows with all lags, summed lag products, and the series' end."""
+    features = lag_features(series, by, ts, value, lags)
+    last = F.struct(
+        F.col(ts).alias("last_ts"), F.col(value).cast("double").alias("last_value"), recent(lags).alias("tail")
+    )
+    sums = [F.sum(term).alias(name) for name, term in lag_products(F.col("d"), _past(lags)).items()]
+    grouped = features.groupBy(*by).agg(*sums, F.max_by(last, F.col(ts)).alias("_last"))
+    return grouped.select("*", "_last.*").drop("_last")
 
 
-def fit(series: DataFrame, key: str = "key", ts: str = "ts", value: str = "total", lags: int = LAGS) -> DataFrame:
-    """One model row per key: ``phi``, ``status`` and the series' end.
+def _solve(lags: int, by: Sequence[str]):
+    def solve_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            size = len(batch)
+            gram, target = np.zeros((size, lags, lags)), np.zeros((size, lags))
+            for i in range(1, lags + 1):
+                target[:, i - 1] = batch[f"r_{i}"]
+                for j in range(i, lags + 1):
+                    gram[:, i - 1, j - 1] = gram[:, j - 1, i - 1] = batch[f"g_{i}_{j}"]
+            solved = [solve_lags(g, r, n) for g, r, n in zip(gram, target, batch["n"])]
+            out = batch[[*by, "n", "last_ts", "last_value", "tail"]].copy()
+            out["phi"] = pd.Series([None if phi is None else phi.tolist() for phi, _ in solved], index=out.index, dtype=object)
+            out["status"] = [status for _, status in solved]
+            yield out
+
+    return solve_batches
+
+
+def solve(equations: DataFrame, by: Sequence[str] = ("key",), lags: int = LAGS) -> DataFrame:
+    """Normal equations to models, one row per series."""
+    fields = {f.name: f.dataType.simpleString() for f in equations.schema.fields}
+    keep = ", ".join(f"`{c}` {fields[c]}" for c in (*by, "n", "last_ts", "last_value", "tail"))
+    return equations.mapInPandas(_solve(lags, by), f"{keep}, phi array<double>, status string")
+
+
+def fit(
+    series: DataFrame, by: Sequence[str] = ("key",), ts: str = "ts", value: str = "total", lags: int = LAGS
+) -> DataFrame:
+    """One model row per series: ``phi``, ``status`` and the series' end.
 
     ``singular`` models (constant slope, short series) still forecast; ``insufficient`` ones have
     null ``phi`` and publish nothing.
     """
-    equations = normal_equations(series, key, ts, value, lags)
-    schema = (
-        f"`{key}` {series.schema[key].dataType.simpleString()}, n bigint, phi array<double>, status string, "
-        f"last_ts {series.schema[ts].dataType.simpleString()}, last_value double, tail array<double>"
-    )
-    return equations.mapInPandas(_solve(lags, key), schema)
+    return solve(normal_equations(series, by, ts, value, lags), by, lags)
 
 
-def forecast(models: DataFrame, horizon: int = LIVE_HORIZON, key: str = "key") -> DataFrame:
-    """``(key, step, ts, forecast)`` for steps 1 to ``horizon``, one minute apart from the last point."""
+def forecast(models: DataFrame, horizon: int = LIVE_HORIZON, by: Sequence[str] = ("key",)) -> DataFrame:
+    """``(*by, step, ts, forecast)`` for steps 1 to ``horizon``, one minute apart from the last point."""
     phi = F.col("phi")
 
     def advance(state, _):
@@ -107,11 +117,11 @@ def forecast(models: DataFrame, horizon: int = LIVE_HORIZON, key: str = "key") -
     )
     steps = F.sequence(F.lit(1), F.lit(horizon))
     paths = models.filter(phi.isNotNull()).select(
-        key, "last_ts", F.aggregate(steps, start, advance, lambda s: s["path"]).alias("path")
+        *by, "last_ts", F.aggregate(steps, start, advance, lambda s: s["path"]).alias("path")
     )
-    rows = paths.select(key, "last_ts", F.posexplode("path").alias("_at", "forecast"))
+    rows = paths.select(*by, "last_ts", F.posexplode("path").alias("_at", "forecast"))
     step = F.col("_at") + 1
     zero = F.lit(0)
     return rows.select(
-        key, step.alias("step"), (F.col("last_ts") + F.make_dt_interval(zero, zero, step, zero)).alias("ts"), "forecast"
+        *by, step.alias("step"), (F.col("last_ts") + F.make_dt_interval(zero, zero, step, zero)).alias("ts"), "forecast"
     )

@@ -4,6 +4,10 @@
 ``ts`` is the event's own time. The two may disagree (late events).
 """
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,23 +26,26 @@ def last_seen(events: DataFrame, key: str = "key", ts: str = "ts") -> DataFrame:
     return events.groupBy(key).agg(F.max(ts).alias("last_ts"))
 
 
-def minute_counts(events: DataFrame, key: str = "key", ts: str = "ts", arrival: str = "arrival") -> DataFrame:
-    """Events per key and real minute, with the first and last arrival among them."""
-    return events.groupBy(key, epoch_minute(F.col(ts)).alias("epoch_minute")).agg(
-        F.count("*").alias("n"),
-        F.min(arrival).alias("first_arrival"),
-        F.max(arrival).alias("last_arrival"),
-    )
-
-
-def minute_totals(events: DataFrame, key: str = "key", ts: str = "ts", arrival: str = "arrival") -> DataFrame:
+def minute_totals(
+    events: DataFrame, key: str = "key", ts: str = "ts", arrival: str = "arrival", split: Sequence[str] = ()
+) -> DataFrame:
     """Running total carried by the last event to arrive in each minute that holds events.
 
-    Where the arrival ranges of a key's minutes do not overlap, which is every minute of a
-    stream in order, sums of minute counts are already the answer and no event is shuffled.
-    Only events of minutes that overlap others (late arrivals) are ranked one by one.
+    ``(key, epoch_minute, n, first_arrival, last_arrival, total)``, with ``split`` columns a row per
+    part of a minute. Where the arrival ranges of a key's rows do not overlap, which is everywhere
+    in a stream in order, sums of counts are already the answer and no event is shuffled. Only
+    events of rows that overlap others (late arrivals) are ranked one by one.
     """
-    counts = materialize(minute_counts(events, key, ts, arrival), "minute-counts")
+    narrow = events.select(key, *split, arrival, epoch_minute(F.col(ts)).alias("epoch_minute"))
+    part = [key, "epoch_minute", *split]
+    counts = materialize(
+        narrow.groupBy(*part).agg(
+            F.count("*").alias("n"),
+            F.min(arrival).alias("first_arrival"),
+            F.max(arrival).alias("last_arrival"),
+        ),
+        "minute-counts",
+    )
 
     by_arrival = W.partitionBy(key).orderBy("first_arrival", "last_arrival")
     before = by_arrival.rowsBetween(W.unboundedPreceding, -1)
@@ -46,46 +53,36 @@ def minute_totals(events: DataFrame, key: str = "key", ts: str = "ts", arrival:
     starts = F.coalesce(F.col("first_arrival") > F.max("last_arrival").over(before), F.lit(True))
     runs = counts.withColumn("_starts", starts.cast("int")).withColumn("_run", F.sum("_starts").over(upto_here))
     runs = runs.withColumn("_mixed", F.count("*").over(W.partitionBy(key, "_run")) > 1)
-
     if runs.filter("_mixed").isEmpty():
-        totals = counts.withColumn("total", F.sum("n").over(upto_here))
-        return totals.select(key, "epoch_minute", "total")
-
-    # Rank the events of mixed minutes among themselves; add the plain minutes before them.
-    mixed_minutes = runs.filter("_mixed").select(F.col(key).alias("_key"), F.col("epoch_minute").alias("_minute"))
-    narrow = events.select(key, arrival, epoch_minute(F.col(ts)).alias("epoch_minute"))
-    mixed_events = narrow.join(
-        mixed_minutes,
-        F.col(key).eqNullSafe(F.col("_key")) & (F.col("epoch_minute") == F.col("_minute")),
-        "left_semi",
-    )
-    ranked = prefix_sums(mixed_events, [key], arrival, F.lit(1).cast("bigint"), "_rank")
-    ranks = ranked.groupBy(key, "epoch_minute").agg(F.max("_rank").alias("_rank"))
-    plain = F.when(~F.col("_mixed"), F.col("n")).otherwise(0)
-    mixed = F.when(F.col("_mixed"), F.col("n")).otherwise(0)
-    runs = runs.withColumns({
-        "_plain": F.sum(plain).over(upto_here),
-        "_before_mixed": F.sum(mixed).over(upto_here),
-    })
-    # Both tables hold one row per key and minute; a union keeps null keys together.
+        return counts.withColumn("total", F.sum("n").over(upto_here))
+
+    # Rank the events of mixed rows among themselves, and add the plain rows before them.
+    mixed = runs.filter("_mixed").select(*[F.col(c).alias(f"_{c}") for c in part])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in part])
+    ranked = prefix_sums(narrow.join(mixed, same, "left_semi"), [key], arrival, F.lit(1).cast("bigint"), "_rank")
+    ranks = ranked.groupBy(*part).agg(F.max("_rank").alias("_rank"))
+    plain_so_far = F.sum(F.when(~F.col("_mixed"), F.col("n")).otherwise(0)).over(upto_here)
+    mixed_so_far = F.sum(F.when(F.col("_mixed"), F.col("n")).otherwise(0)).over(upto_here)
+    runs = runs.withColumns({"_plain": plain_so_far, "_before": F.when(~F.col("_mixed"), mixed_so_far)})
+    # One row on either side: a union with an aggregate keeps null keys together.
+    columns = ["n", "first_arrival", "last_arrival"]
     return (
-        runs.select(key, "epoch_minute", "_mixed", "_plain", "_before_mixed")
+        runs.select(*part, *columns, "_plain", "_before")
         .unionByName(ranks, allowMissingColumns=True)
-        .groupBy(key, "epoch_minute")
+        .groupBy(*part)
         .agg(
-            (
-                F.max("_plain") + F.when(F.bool_or("_mixed"), F.max("_rank")).otherwise(F.max("_before_mixed"))
-            ).alias("total")
+            *[F.max(c).alias(c) for c in columns],
+            (F.max("_plain") + F.coalesce(F.max("_before"), F.max("_rank"))).alias("total"),
         )
     )
 
 
-def fill_minutes(totals: DataFrame, key: str = "key") -> DataFrame:
-    """Regular one-minute grid from a key's first to its last minute, gaps filled forward.
+def fill_minutes(totals: DataFrame, by: Sequence[str] = ("key",)) -> DataFrame:
+    """Regular one-minute grid from a series' first to its last minute, gaps filled forward.
 
-    Each row spans up to the key's next row, so no separate grid has to be joined.
+    Each row spans up to the next row of its series, so no separate grid has to be joined.
     """
-    by_minute = W.partitionBy(key).orderBy("epoch_minute")
+    by_minute = W.partitionBy(*by).orderBy("epoch_minute")
     until = F.coalesce(F.lead("epoch_minute").over(by_minute) - 1, F.col("epoch_minute"))
     spans = totals.withColumn("_until", until)
     return spans.withColumn("epoch_minute", F.explode(F.sequence("epoch_minute", "_until"))).drop("_until")
@@ -93,7 +90,8 @@ def fill_minutes(totals: DataFrame, key: str = "key") -> DataFrame:
 
 def minute_series(events: DataFrame, key: str = "key", ts: str = "ts", arrival: str = "arrival") -> DataFrame:
     """``(key, ts, total)`` per minute, forward filled."""
-    filled = fill_minutes(minute_totals(events, key, ts, arrival), key)
+    totals = minute_totals(events, key, ts, arrival).select(key, "epoch_minute", "total")
+    filled = fill_minutes(totals, [key])
     return filled.select(key, minute_start(F.col("epoch_minute")).alias("ts"), "total")
 
 

@@ -19,23 +19,32 @@ def _hour_changes(marks: DataFrame, window: WindowSpec) -> DataFrame:
     ).drop("_previous")
 
 
-def trigger_points(
+def candidate_changes(
     events: DataFrame, ts: str = "ts", arrival: str = "arrival", opening_hour: int = OPENING_HOUR
 ) -> DataFrame:
-    """Events that fire a refit, as ``(arrival, ts)``.
+    """Candidates, as ``(arrival, ts)``, thinned to where their hour changes.
 
-    A candidate is an event in minute 0 of an hour other than the opening hour; it fires when
-    the candidate before it, in arrival order, had another hour of day. A candidate that
-    repeats its predecessor's hour can be dropped without changing any later comparison, so
-    blocks of arrivals are thinned first and one task only ever orders the changes.
+    A candidate is an event in minute 0 of an hour other than the opening hour. One that repeats
+    the hour of the candidate before it in arrival order never fires, and can be dropped without
+    changing any later comparison; so blocks of arrivals are thinned independently. The first
+    candidate of a block is always kept.
     """
     hour = F.hour(ts)
-    marks = events.filter((F.minute(ts) == 0) & (hour != opening_hour)).select(
-        arrival, ts, hour.alias("_hour")
-    )
+    marks = events.filter((F.minute(ts) == 0) & (hour != opening_hour)).select(arrival, ts, hour.alias("_hour"))
     for bits in (BLOCK_BITS, 2 * BLOCK_BITS):
         block = F.shiftright(F.col(arrival), bits)
         marks = _hour_changes(marks, W.partitionBy(block).orderBy(arrival))
+    return marks.select(arrival, ts)
+
+
+def trigger_points(
+    events: DataFrame, ts: str = "ts", arrival: str = "arrival", opening_hour: int = OPENING_HOUR
+) -> DataFrame:
+    """Events that fire a refit, as ``(arrival, ts)``: candidates whose predecessor had another hour of day.
+
+    One task orders the changes of hour only.
+    """
+    marks = candidate_changes(events, ts, arrival, opening_hour).withColumn("_hour", F.hour(ts))
     return _hour_changes(marks, W.orderBy(arrival)).select(arrival, ts)
 
 
@@ -56,6 +65,41 @@ def _position(sorted_list: Column, value: Column, n: int) -> Column:
     return F.aggregate(steps, span, halve, lambda s: s["lo"])
 
 
+def place(rows: DataFrame, triggers: DataFrame, arrival: str = "arrival", searched: int = SEARCHED_TRIGGERS) -> DataFrame:
+    """Add ``interval``: how many triggers arrived before the row (so a trigger ends its own interval).
+
+    A short trigger list, its size is checked, is searched in every task and the rows stay where
+    they are; a long one is merged with the rows in arrival order. ``triggers`` is read several
+    times: pass a materialized table.
+    """
+    n = triggers.count()
+    if n <= searched:
+        listed = triggers.agg(F.array_sort(F.collect_list(arrival)))
+        found = rows.withColumn("_listed", listed.scalar())
+        position = _position(F.col("_listed"), F.col(arrival), n)
+        return found.withColumn("interval", position.cast("bigint")).drop("_listed")
+    # A trigger shares its event's arrival: doubling makes room to sort it after the event.
+    marked = rows.withColumns({"_order": F.col(arrival) * 2, "_trigger": F.lit(0), "_all": F.lit(0)})
+    fired = triggers.select(
+        (F.col(arrival) * 2 + 1).alias("_order"), F.lit(1).alias("_trigger"), F.lit(0).alias("_all")
+    )
+    merged = prefix_sums(
+        marked.unionByName(fired, allowMissingColumns=True), ["_all"], "_order", F.col("_trigger"), "interval"
+    )
+    return merged.filter("_trigger = 0").drop("_order", "_trigger", "_all")
+
+
+def numbered(triggers: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """Triggers with their ``interval``, 0 for the first. One row per refit goes through one task."""
+    return triggers.withColumn("interval", (F.row_number().over(W.orderBy(arrival)) - 1).cast("bigint"))
+
+
+def every_interval(per_key: DataFrame, n: int, by: str = "key") -> DataFrame:
+    """Each key with each of the ``n`` intervals."""
+    intervals = F.sequence(F.lit(0).cast("bigint"), F.lit(max(n - 1, 0)).cast("bigint"))
+    return per_key.select(by).distinct().select(by, F.explode(intervals).alias("interval"))
+
+
 def snapshot_totals(
     events: DataFrame,
     triggers: DataFrame,
@@ -65,33 +109,13 @@ def snapshot_totals(
 ) -> DataFrame:
     """Total per key over everything that had arrived at each trigger, the trigger itself included.
 
-    Events are numbered by the trigger interval they fall in, counted per key and interval,
-    and summed up over intervals. A short trigger list (its size is checked) is searched in
-    every task, so events are only partially aggregated; a long one is merged with the events
-    in arrival order. ``triggers`` is read several times: pass a materialized table.
+    Events are counted per key and trigger interval, and the counts summed up over intervals; no
+    event meets more than its own interval.
     """
-    n = triggers.count()
-    narrow = events.select(key, arrival)
-    if n <= searched:
-        listed = triggers.agg(F.array_sort(F.collect_list(arrival)).alias("_listed"))
-        placed = narrow.withColumn("_listed", listed.scalar()).withColumn(
-            "interval", _position(F.col("_listed"), F.col(arrival), n)
-        )
-    else:
-        # A trigger shares its event's arrival: doubling makes room to sort it after the event.
-        both = narrow.select(key, (F.col(arrival) * 2).alias("_order"), F.lit(0).alias("_trigger")).unionByName(
-            triggers.select((F.col(arrival) * 2 + 1).alias("_order"), F.lit(1).alias("_trigger")),
-            allowMissingColumns=True,
-        ).withColumn("_all", F.lit(0))
-        merged = prefix_sums(both, ["_all"], "_order", F.col("_trigger"), "interval")
-        placed = merged.filter(F.col("_trigger") == 0)
-
-    counts = placed.groupBy(key, F.col("interval").cast("bigint").alias("interval")).agg(F.count("*").alias("n"))
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(max(n - 1, 0)).cast("bigint"))
-    grid = counts.select(key).distinct().select(key, F.explode(every).alias("interval"), F.lit(0).alias("n"))
+    placed = place(events.select(key, arrival), triggers, arrival, searched)
+    counts = placed.groupBy(key, "interval").agg(F.count("*").alias("n"))
+    grid = every_interval(counts, triggers.count(), key).withColumn("n", F.lit(0))
     filled = counts.unionByName(grid).groupBy(key, "interval").agg(F.sum("n").alias("n"))
     upto_here = W.partitionBy(key).orderBy("interval").rowsBetween(W.unboundedPreceding, W.currentRow)
     totals = filled.select(key, "interval", F.sum("n").over(upto_here).alias("total"))
-
-    numbered = triggers.withColumn("interval", (F.row_number().over(W.orderBy(arrival)) - 1).cast("bigint"))
-    return numbered.join(totals, "interval").drop("interval")
+    return numbered(triggers, arrival).join(totals, "interval").drop("interval")
