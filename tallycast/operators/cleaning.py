@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.functions.times import parse_time
+from tallycast.operators.lookup import join_dimension
 
 
 def parse_events(raw: DataFrame, time: str = "event_time", out: str = "ts") -> DataFrame:
@@ -23,12 +24,12 @@ def rejected_events(raw: DataFrame, time: str = "event_time") -> DataFrame:
 
 def known_events(events: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
     """Events whose key is in the key dimension, with that dimension's other columns (label, rank)."""
-    return events.join(keys, key, "inner")
+    return join_dimension(events, keys, key, "inner")
 
 
 def unknown_events(events: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
     """Events whose key is missing from the key dimension (null keys included)."""
-    return events.join(keys, key, "left_anti")
+    return join_dimension(events, keys.select(key), key, "left_anti")
 
 
 def json_field(events: DataFrame, text: str, schema: str, defaults: dict[str, object]) -> DataFrame:

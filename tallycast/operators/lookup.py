@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from tallycast.functions.vectors import MATCH_THRESHOLD, cosine, norm, verdict
 
+BROADCAST_ROWS = 50_000  # about 30 MB of embeddings
+FREQUENT_SHARE = 0.001
+
 
 def first_per_entity(dimension: DataFrame, entity: str, order: str | None = None) -> DataFrame:
     """One row per entity: the first by ``order``, or the smallest row when no order is named."""
@@ -14,13 +17,35 @@ def first_per_entity(dimension: DataFrame, entity: str, order: str | None = None
     return dimension.groupBy(entity).agg(first.alias("_first")).select(entity, *[F.col("_first")[c].alias(c) for c in rest])
 
 
-def entity_lookup(events: DataFrame, dimension: DataFrame, entity: str = "entity") -> DataFrame:
-    """Every event with its entity's columns, null when the entity is not registered.
+def join_dimension(
+    events: DataFrame, dimension: DataFrame, on: str, how: str = "left", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Join events to a dimension with one row per ``on``, however unevenly events spread over it.
 
-    ``dimension`` holds one row per entity. No side is forced to broadcast: a small dimension is
-    by its measured size, a large one is shuffled and a hot entity's partition split at run time.
+    A dimension of at most ``broadcast_rows`` rows (counted) goes to every task. Beyond that,
+    events are shuffled, except those of frequent values: all values holding more than
+    ``FREQUENT_SHARE`` of the events are among the at most ``1 / FREQUENT_SHARE`` that one pass
+    finds, so their dimension rows can be broadcast and no partition is piled up. Null values
+    match nothing and stay out of the shuffle as well.
     """
-    return events.join(dimension, entity, "left")
+    if dimension.select(on).limit(broadcast_rows + 1).count() <= broadcast_rows:
+        return events.join(F.broadcast(dimension), on, how)
+    listed = events.freqItems([on], FREQUENT_SHARE)
+    frequent = listed.select(F.explode(listed.columns[0]).alias(on)).distinct()
+    flagged = events.join(F.broadcast(frequent.withColumn("_frequent", F.lit(True))), on, "left")
+    apart = F.col("_frequent").isNotNull() | F.col(on).isNull()
+    few = dimension.join(F.broadcast(frequent), on, "left_semi")
+    return (
+        flagged.filter(apart).drop("_frequent").join(F.broadcast(few), on, how)
+        .unionByName(flagged.filter(~apart).drop("_frequent").join(dimension, on, how))
+    )
+
+
+def entity_lookup(
+    events: DataFrame, dimension: DataFrame, entity: str = "entity", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Every event with its entity's columns, null when the entity is not registered."""
+    return join_dimension(events, dimension, entity, "left", broadcast_rows)
 
 
 def reference_embeddings(dimension: DataFrame, entity: str, embedding: str = "embedding") -> DataFrame:
@@ -38,12 +63,13 @@ def verify(
     live: str = "live",
     live_norm: Column | None = None,
     threshold: float = MATCH_THRESHOLD,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Add ``similarity`` of the live and the registered embedding, and the ``verdict``.
 
     Verification never removes an event: counting is independent of it.
     """
-    joined = entity_lookup(events, references)
+    joined = entity_lookup(events, references, broadcast_rows=broadcast_rows)
     similarity = cosine(F.col(live), F.col("reference"), live_norm, F.col("reference_norm"))
     return (
         joined.withColumn("similarity", similarity)

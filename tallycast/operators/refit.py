@@ -6,7 +6,7 @@ minute, split where a trigger falls into the minute, with the running total at t
 event. Every snapshot is a union of whole parts, so events are read once and never again.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,73 +24,91 @@ def history_parts(events: DataFrame, triggers: DataFrame) -> DataFrame:
     return minute_totals(place(events, triggers), split=["interval"])
 
 
-def _in_order(parts: DataFrame) -> bool:
-    """Whether no key's minutes go back, nor overlap, in arrival order."""
-    earlier = W.partitionBy("key").orderBy("first_arrival").rowsBetween(W.unboundedPreceding, -1)
-    late = (F.col("epoch_minute") < F.max("epoch_minute").over(earlier)) | (
-        F.col("first_arrival") <= F.max("last_arrival").over(earlier)
+def _same(left: str, right: str) -> Column:
+    return F.col(left).eqNullSafe(F.col(right))
+
+
+def _final_series(parts: DataFrame, lags: int) -> DataFrame:
+    """The whole history's series with running sums of its lag products."""
+    totals = parts.groupBy("key", "epoch_minute").agg(F.max_by("total", "last_arrival").alias("total"))
+    features = ar.lag_features(fill_minutes(totals), ts="epoch_minute", lags=lags)
+    upto_here = W.partitionBy("key").orderBy("epoch_minute").rowsBetween(W.unboundedPreceding, W.currentRow)
+    terms = ar.lag_products(F.col("d"), [F.col(f"l{i}") for i in range(1, lags + 1)])
+    return features.select(
+        F.col("key").alias("_key"),
+        F.col("epoch_minute").alias("_minute"),
+        F.col("total").alias("_final"),
+        F.struct(*[F.sum(term).over(upto_here).alias(name) for name, term in terms.items()]).alias("_sums"),
     )
-    return parts.withColumn("_late", late).filter("_late").isEmpty()
 
 
-def _equations_by_snapshot(parts: DataFrame, n: int, lags: int) -> DataFrame:
-    """Normal equations of each snapshot's own series, for parts in any order.
+def _snapshot_ends(parts: DataFrame, n: int, lags: int) -> DataFrame:
+    """Per refit and key: the last minute known, and the first minute not yet ``settled``.
 
-    Each part is repeated for every later refit, as each refit reads all history before it.
+    Minutes before ``settled`` get no later event, so there the snapshot equals the final series.
+    In a stream in order only the last minute can be unsettled. Returns one row per minute from a
+    little before ``settled`` (for the lags) to the end.
     """
-    later = F.sequence(F.col("interval"), F.lit(n - 1).cast("bigint"))
-    snapshots = parts.filter(F.col("interval") < n).withColumn("interval", F.explode(later))
-    totals = snapshots.groupBy(*REFIT, "epoch_minute").agg(F.max_by("total", "last_arrival").alias("total"))
-    series = fill_minutes(totals, REFIT).withColumn("ts", minute_start(F.col("epoch_minute")))
-    return ar.normal_equations(series, REFIT, lags=lags)
+    touched = parts.groupBy(*REFIT).agg(F.min("epoch_minute").alias("lo"), F.max("epoch_minute").alias("hi"))
+    by_interval = W.partitionBy("key").orderBy("interval")
+    known = F.max("hi").over(by_interval.rowsBetween(W.unboundedPreceding, W.currentRow))
+    later = F.min("lo").over(by_interval.rowsBetween(1, W.unboundedFollowing))
+    ends = (
+        every_interval(touched, n)
+        .unionByName(touched, allowMissingColumns=True)
+        .groupBy(*REFIT)
+        .agg(F.max("lo").alias("lo"), F.max("hi").alias("hi"))
+        .withColumns({"end": known, "later": later})
+        .filter((F.col("interval") < n) & F.col("end").isNotNull())
+        .withColumn("settled", F.least(F.coalesce("later", F.col("end") + 1), F.col("end") + 1))
+    )
+    minutes = F.sequence(F.col("settled") - 1 - lags, F.col("end"))
+    return ends.select(*REFIT, "settled", F.explode(minutes).alias("epoch_minute"))
 
 
-def _equations_by_prefix(parts: DataFrame, n: int, lags: int) -> DataFrame:
-    """The same equations for parts in order, in one pass over the minutes.
+def refit_equations(parts: DataFrame, n: int, lags: int = ar.LAGS) -> DataFrame:
+    """Normal equations of the series each refit saw, exact for events in any order.
 
-    In order, a snapshot's series is the final series up to the minute before its last one, plus
-    that last minute as far as it had come. So the lag products are running sums read off at the
-    minute before, and one last difference is added by hand.
+    The settled minutes contribute the final series' running sums, read off at the last of them;
+    only the few minutes after that are worked out per refit. So the work grows with minutes plus
+    refits, not with their product.
     """
-    totals = parts.groupBy("key", "epoch_minute").agg(F.max("total").alias("total"))
-    series = fill_minutes(totals)
-    features = ar.lag_features(series, ts="epoch_minute", lags=lags)
-    past = [F.col(f"l{i}") for i in range(1, lags + 1)]
-    terms = ar.lag_products(F.col("d"), past)
-    upto_here = W.partitionBy("key").orderBy("epoch_minute").rowsBetween(W.unboundedPreceding, W.currentRow)
-    sums = features.select(
-        F.col("key").alias("_key"),
-        (F.col("epoch_minute") + 1).alias("_minute"),  # read by the minute that follows
-        F.col("total").alias("before"),
-        ar.recent(lags).alias("recent"),
-        *[F.sum(term).over(upto_here).alias(name) for name, term in terms.items()],
-    )
-
-    # The newest part each refit knows of, carried forward over refits in which a key had no event.
-    newest = parts.groupBy(*REFIT).agg(
-        F.max_by(F.struct("epoch_minute", "total"), "last_arrival").alias("at")
+    final = _final_series(parts, lags)
+    ends = _snapshot_ends(parts, n, lags)
+    pieces = parts.select(
+        F.col("key").alias("_pkey"), F.col("epoch_minute").alias("_pminute"), F.col("interval").alias("_pinterval"),
+        "last_arrival", F.col("total").alias("_ptotal"),
     )
-    grid = every_interval(newest, n).unionByName(newest, allowMissingColumns=True)
-    so_far = W.partitionBy("key").orderBy("interval").rowsBetween(W.unboundedPreceding, W.currentRow)
-    known = (
-        grid.groupBy(*REFIT).agg(F.max("at").alias("at"))
-        .withColumn("at", F.last("at", ignorenulls=True).over(so_far))
-        .filter((F.col("interval") < n) & F.col("at").isNotNull())
-        .select(*REFIT, "at.*")
+    arrived = (
+        (F.col("epoch_minute") >= F.col("settled"))
+        & _same("key", "_pkey")
+        & (F.col("epoch_minute") == F.col("_pminute"))
+        & (F.col("interval") >= F.col("_pinterval"))
     )
-    joined = known.join(
-        sums, F.col("key").eqNullSafe(F.col("_key")) & (F.col("epoch_minute") == F.col("_minute")), "left"
+    own = ends.join(pieces, arrived, "left").groupBy(*REFIT, "settled", "epoch_minute").agg(
+        F.max_by("_ptotal", "last_arrival").alias("_own")
     )
-    d = (F.col("total") - F.col("before")).cast("double")
-    added = ar.lag_products(d, [F.get("recent", F.lit(i)) for i in range(lags)])
-    tail = F.concat(F.array(d), F.slice("recent", 1, lags - 1))
-    return joined.select(
-        *REFIT,
-        *[(F.coalesce(F.col(name), F.lit(0)) + F.coalesce(term, F.lit(0))).alias(name) for name, term in added.items()],
+    values = own.join(final, _same("key", "_key") & (F.col("epoch_minute") == F.col("_minute")), "left")
+    is_settled = F.col("epoch_minute") < F.col("settled")
+    so_far = W.partitionBy(*REFIT).orderBy("epoch_minute").rowsBetween(W.unboundedPreceding, W.currentRow)
+    total = F.last(F.when(is_settled, F.col("_final")).otherwise(F.col("_own")), ignorenulls=True).over(so_far)
+    series = values.withColumn("total", total).filter(F.col("total").isNotNull())
+
+    features = ar.lag_features(series, REFIT, "epoch_minute", lags=lags)
+    added = ar.lag_products(F.col("d"), [F.col(f"l{i}") for i in range(1, lags + 1)])
+    # Running sums are read at the last settled minute; unsettled minutes add their own products.
+    at_settled = F.col("epoch_minute") == F.col("settled") - 1
+    sums = [
+        F.sum(F.when(at_settled, F.col("_sums")[name]).when(~is_settled, term).otherwise(0)).alias(name)
+        for name, term in added.items()
+    ]
+    last = F.struct(
         minute_start(F.col("epoch_minute")).alias("last_ts"),
         F.col("total").cast("double").alias("last_value"),
-        tail.alias("tail"),
+        ar.recent(lags).alias("tail"),
     )
+    equations = features.groupBy(*REFIT).agg(*sums, F.max_by(last, F.col("epoch_minute")).alias("_last"))
+    return equations.select("*", "_last.*").drop("_last")
 
 
 def refit_models(parts: DataFrame, triggers: DataFrame, lags: int = ar.LAGS) -> DataFrame:
@@ -101,8 +119,7 @@ def refit_models(parts: DataFrame, triggers: DataFrame, lags: int = ar.LAGS) ->
     """
     n = triggers.count()
     pieces = place(parts.drop("interval").withColumn("arrival", F.col("last_arrival")), triggers)
-    equations = _equations_by_prefix if _in_order(parts) else _equations_by_snapshot
-    models = ar.solve(equations(pieces, n, lags), REFIT, lags)
+    models = ar.solve(refit_equations(pieces, n, lags), REFIT, lags)
     refits = numbered(triggers).select(
         "interval", F.col("arrival").alias("refit_arrival"), F.col("ts").alias("refit_ts")
     )

@@ -38,23 +38,23 @@ def minute_totals(
     """
     narrow = events.select(key, *split, arrival, epoch_minute(F.col(ts)).alias("epoch_minute"))
     part = [key, "epoch_minute", *split]
-    counts = materialize(
-        narrow.groupBy(*part).agg(
-            F.count("*").alias("n"),
-            F.min(arrival).alias("first_arrival"),
-            F.max(arrival).alias("last_arrival"),
-        ),
-        "minute-counts",
+    counts = narrow.groupBy(*part).agg(
+        F.count("*").alias("n"),
+        F.min(arrival).alias("first_arrival"),
+        F.max(arrival).alias("last_arrival"),
     )
 
+    # Windows over one row per key and minute: bounded by the calendar, not by the events.
     by_arrival = W.partitionBy(key).orderBy("first_arrival", "last_arrival")
     before = by_arrival.rowsBetween(W.unboundedPreceding, -1)
     upto_here = by_arrival.rowsBetween(W.unboundedPreceding, W.currentRow)
-    starts = F.coalesce(F.col("first_arrival") > F.max("last_arrival").over(before), F.lit(True))
-    runs = counts.withColumn("_starts", starts.cast("int")).withColumn("_run", F.sum("_starts").over(upto_here))
-    runs = runs.withColumn("_mixed", F.count("*").over(W.partitionBy(key, "_run")) > 1)
+    overlaps = F.coalesce(F.col("first_arrival") <= F.max("last_arrival").over(before), F.lit(False))
+    runs = counts.withColumn("_overlaps", overlaps)
+    runs = runs.withColumn("_mixed", F.col("_overlaps") | F.lead("_overlaps", 1, False).over(by_arrival))
+    runs = materialize(runs.withColumn("total", F.sum("n").over(upto_here)), "minutes")
+    columns = ["n", "first_arrival", "last_arrival"]
     if runs.filter("_mixed").isEmpty():
-        return counts.withColumn("total", F.sum("n").over(upto_here))
+        return runs.select(*part, *columns, "total")
 
     # Rank the events of mixed rows among themselves, and add the plain rows before them.
     mixed = runs.filter("_mixed").select(*[F.col(c).alias(f"_{c}") for c in part])
@@ -65,7 +65,6 @@ def minute_totals(
     mixed_so_far = F.sum(F.when(F.col("_mixed"), F.col("n")).otherwise(0)).over(upto_here)
     runs = runs.withColumns({"_plain": plain_so_far, "_before": F.when(~F.col("_mixed"), mixed_so_far)})
     # One row on either side: a union with an aggregate keeps null keys together.
-    columns = ["n", "first_arrival", "last_arrival"]
     return (
         runs.select(*part, *columns, "_plain", "_before")
         .unionByName(ranks, allowMissingColumns=True)

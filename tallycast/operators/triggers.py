@@ -1,15 +1,13 @@
 """When to refit, and what was known at that moment."""
 
-from math import ceil, log2
-
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallycast.operators.prefix import BLOCK_BITS, prefix_sums
 
 OPENING_HOUR = 8  # fixed value: the hour in which no refit fires
-SEARCHED_TRIGGERS = 100_000  # largest trigger list handed to every task (under 1 MB)
+LISTED_TRIGGERS = 100_000  # longest trigger list spread to every task (about 20 MB)
 
 
 def _hour_changes(marks: DataFrame, window: WindowSpec) -> DataFrame:
@@ -48,36 +46,37 @@ def trigger_points(
     return _hour_changes(marks, W.orderBy(arrival)).select(arrival, ts)
 
 
-def _position(sorted_list: Column, value: Column, n: int) -> Column:
-    """How many of the ``n`` sorted entries are smaller than ``value``, by bisection."""
-
-    def halve(span: Column, _: Column) -> Column:
-        middle = F.floor((span["lo"] + span["hi"]) / 2).cast("int")
-        open_ = span["lo"] < span["hi"]
-        smaller = F.get(sorted_list, middle) < value
-        return F.struct(
-            F.when(open_ & smaller, middle + 1).otherwise(span["lo"]).alias("lo"),
-            F.when(open_ & ~smaller, middle).otherwise(span["hi"]).alias("hi"),
-        )
-
-    steps = F.sequence(F.lit(1), F.lit(ceil(log2(n + 1)) + 1))
-    span = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
-    return F.aggregate(steps, span, halve, lambda s: s["lo"])
-
-
-def place(rows: DataFrame, triggers: DataFrame, arrival: str = "arrival", searched: int = SEARCHED_TRIGGERS) -> DataFrame:
+def place(rows: DataFrame, triggers: DataFrame, arrival: str = "arrival", listed: int = LISTED_TRIGGERS) -> DataFrame:
     """Add ``interval``: how many triggers arrived before the row (so a trigger ends its own interval).
 
-    A short trigger list, its size is checked, is searched in every task and the rows stay where
-    they are; a long one is merged with the rows in arrival order. ``triggers`` is read several
-    times: pass a materialized table.
+    A trigger list of at most ``listed`` entries (counted) is spread over blocks of arrivals about
+    as wide as half the usual distance between triggers. That table, a few rows per trigger, goes
+    to every task, and a row meets only the intervals that touch its block. A longer list is
+    merged with the rows in arrival order. ``triggers`` is read twice: pass a materialized table.
     """
-    n = triggers.count()
-    if n <= searched:
-        listed = triggers.agg(F.array_sort(F.collect_list(arrival)))
-        found = rows.withColumn("_listed", listed.scalar())
-        position = _position(F.col("_listed"), F.col(arrival), n)
-        return found.withColumn("interval", position.cast("bigint")).drop("_listed")
+    n, first, last = triggers.agg(F.count("*"), F.min(arrival), F.max(arrival)).first()
+    if n == 0:
+        return rows.withColumn("interval", F.lit(0).cast("bigint"))
+    if n > listed:
+        return _merge(rows, triggers, arrival)
+    bits = ((last - first) // (2 * n)).bit_length()
+    ordered = numbered(triggers.select(F.col(arrival).alias("_to")), "_to").withColumn(
+        "_from", F.lag("_to").over(W.orderBy("_to"))
+    )
+    block = F.explode(F.sequence(F.shiftright("_from", bits), F.shiftright("_to", bits)))
+    spans = ordered.filter(F.col("_from").isNotNull()).select("interval", "_from", "_to", block.alias("_block"))
+    at = F.col(arrival)
+    inside = (F.shiftright(at, bits) == F.col("_block")) & (at > F.col("_from")) & (at <= F.col("_to"))
+    interval = F.when(at <= first, 0).when(at > last, n).otherwise(F.col("interval"))
+    return (
+        rows.join(F.broadcast(spans), inside, "left")
+        .withColumn("interval", interval.cast("bigint"))
+        .drop("_from", "_to", "_block")
+    )
+
+
+def _merge(rows: DataFrame, triggers: DataFrame, arrival: str) -> DataFrame:
+    """``place`` by a running count of triggers over rows and triggers in arrival order."""
     # A trigger shares its event's arrival: doubling makes room to sort it after the event.
     marked = rows.withColumns({"_order": F.col(arrival) * 2, "_trigger": F.lit(0), "_all": F.lit(0)})
     fired = triggers.select(
@@ -105,14 +104,14 @@ def snapshot_totals(
     triggers: DataFrame,
     key: str = "key",
     arrival: str = "arrival",
-    searched: int = SEARCHED_TRIGGERS,
+    listed: int = LISTED_TRIGGERS,
 ) -> DataFrame:
     """Total per key over everything that had arrived at each trigger, the trigger itself included.
 
     Events are counted per key and trigger interval, and the counts summed up over intervals; no
     event meets more than its own interval.
     """
-    placed = place(events.select(key, arrival), triggers, arrival, searched)
+    placed = place(events.select(key, arrival), triggers, arrival, listed)
     counts = placed.groupBy(key, "interval").agg(F.count("*").alias("n"))
     grid = every_interval(counts, triggers.count(), key).withColumn("n", F.lit(0))
     filled = counts.unionByName(grid).groupBy(key, "interval").agg(F.sum("n").alias("n"))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.functions.times import TIME_FORMAT
-from tallycast.operators.lookup import first_per_entity, reference_embeddings
+from tallycast.operators.lookup import first_per_entity, join_dimension, reference_embeddings
 
 # Key dimension: three of the event types take part, in this order.
 KEY_RANKS = [("click", 1, "Candidate 1"), ("purchase", 2, "Candidate 2"), ("view", 3, "Candidate 3")]
@@ -82,7 +82,7 @@ def live_events(events: DataFrame, source: DataFrame) -> DataFrame:
     vectors = reference_embeddings(source, "vec_id").withColumnsRenamed(
         {"entity": "face", "reference": "live", "reference_norm": "live_norm"}
     )
-    return events.withColumn("face", shown).join(vectors, "face", "left")
+    return join_dimension(events.withColumn("face", shown), vectors, "face")
 
 
 FACES_SQL = """faces AS (SELECT event_id AS arrival, user_id AS entity, event_type AS key, CASE
