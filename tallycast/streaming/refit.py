@@ -10,6 +10,10 @@ from tallycast.operators.triggers import candidate_changes, trigger_points
 from tallycast.session import materialize
 from tallycast.streaming.sinks import read_batches
 
+PUBLISHED = (
+    "refit_arrival bigint, refit_ts timestamp_ntz, key string, step int, ts timestamp_ntz, forecast double"
+)
+
 
 class LiveRefit:
     """Keeps three small tables below ``folder``, one sub-folder per micro-batch each:
@@ -53,6 +57,9 @@ class LiveRefit:
             )
         self._replace(parts, "parts", batch_id)
 
+        if triggers.isEmpty():
+            self._replace(events.sparkSession.createDataFrame([], PUBLISHED), "forecasts", batch_id)
+            return
         history = self._upto(parts, "parts", batch_id).drop("batch_id")
         models = refit_models(history, triggers, self.lags)
         self._replace(ar.forecast(models, self.horizon, ["refit_arrival", "refit_ts", "key"]), "forecasts", batch_id)
@@ -62,7 +69,4 @@ class LiveRefit:
         return (writer.trigger(availableNow=True) if available_now else writer).start()
 
     def forecasts(self, spark: SparkSession) -> DataFrame:
-        return spark.read.schema(
-            "refit_arrival bigint, refit_ts timestamp_ntz, key string, step int, ts timestamp_ntz, forecast double, "
-            "batch_id bigint"
-        ).parquet(f"{self.folder}/forecasts")
+        return spark.read.schema(f"{PUBLISHED}, batch_id bigint").parquet(f"{self.folder}/forecasts")
