@@ -4,9 +4,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.functions.vectors import MATCH_THRESHOLD, cosine, norm, verdict
+from tallycast.session import materialize
 
 BROADCAST_ROWS = 50_000  # about 30 MB of embeddings
-FREQUENT_SHARE = 0.001
+FREQUENT_SHARE = 0.00002  # 50 000 values at most
+JUDGED_EVENTS = 20_000_000
 
 
 def first_per_entity(dimension: DataFrame, entity: str, order: str | None = None) -> DataFrame:
@@ -17,21 +19,32 @@ def first_per_entity(dimension: DataFrame, entity: str, order: str | None = None
     return dimension.groupBy(entity).agg(first.alias("_first")).select(entity, *[F.col("_first")[c].alias(c) for c in rest])
 
 
+def frequent_values(events: DataFrame, on: str) -> DataFrame:
+    """Values that hold more than ``FREQUENT_SHARE`` of the events, so never many.
+
+    Judged on a sample once there are more than ``JUDGED_EVENTS``; this only decides which way a
+    value is joined, and either way is exact.
+    """
+    total = events.count()
+    share = min(1.0, JUDGED_EVENTS / max(total, 1))
+    judged = events.select(on).sample(share, seed=7) if share < 1.0 else events.select(on)
+    enough = max(1.0, total * share * FREQUENT_SHARE)
+    return judged.groupBy(on).count().filter(F.col(on).isNotNull() & (F.col("count") >= enough)).select(on)
+
+
 def join_dimension(
     events: DataFrame, dimension: DataFrame, on: str, how: str = "left", broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Join events to a dimension with one row per ``on``, however unevenly events spread over it.
 
     A dimension of at most ``broadcast_rows`` rows (counted) goes to every task. Beyond that,
-    events are shuffled, except those of frequent values: all values holding more than
-    ``FREQUENT_SHARE`` of the events are among the at most ``1 / FREQUENT_SHARE`` that one pass
-    finds, so their dimension rows can be broadcast and no partition is piled up. Null values
-    match nothing and stay out of the shuffle as well.
+    events are shuffled, except those of frequent values: there are at most
+    ``1 / FREQUENT_SHARE`` of these, so their dimension rows can be broadcast and no partition is
+    piled up. Null values match nothing and stay out of the shuffle as well.
     """
     if dimension.select(on).limit(broadcast_rows + 1).count() <= broadcast_rows:
         return events.join(F.broadcast(dimension), on, how)
-    listed = events.freqItems([on], FREQUENT_SHARE)
-    frequent = listed.select(F.explode(listed.columns[0]).alias(on)).distinct()
+    frequent = materialize(frequent_values(events, on), "frequent")
     flagged = events.join(F.broadcast(frequent.withColumn("_frequent", F.lit(True))), on, "left")
     apart = F.col("_frequent").isNotNull() | F.col(on).isNull()
     few = dimension.join(F.broadcast(frequent), on, "left_semi")

@@ -8,6 +8,7 @@ from tallycast.operators.prefix import BLOCK_BITS, prefix_sums
 
 OPENING_HOUR = 8  # fixed value: the hour in which no refit fires
 LISTED_TRIGGERS = 100_000  # longest trigger list spread to every task (about 20 MB)
+CROWDED = 32  # most intervals a row may be compared with
 
 
 def _hour_changes(marks: DataFrame, window: WindowSpec) -> DataFrame:
@@ -50,9 +51,10 @@ def place(rows: DataFrame, triggers: DataFrame, arrival: str = "arrival", listed
     """Add ``interval``: how many triggers arrived before the row (so a trigger ends its own interval).
 
     A trigger list of at most ``listed`` entries (counted) is spread over blocks of arrivals about
-    as wide as half the usual distance between triggers. That table, a few rows per trigger, goes
-    to every task, and a row meets only the intervals that touch its block. A longer list is
-    merged with the rows in arrival order. ``triggers`` is read twice: pass a materialized table.
+    as wide as half the usual distance between triggers. That table, at most three rows per
+    trigger, goes to every task, and a row meets only the few intervals that touch its block. A
+    longer or very uneven list is merged with the rows in arrival order. ``triggers`` is read
+    several times: pass a materialized table.
     """
     n, first, last = triggers.agg(F.count("*"), F.min(arrival), F.max(arrival)).first()
     if n == 0:
@@ -65,6 +67,8 @@ def place(rows: DataFrame, triggers: DataFrame, arrival: str = "arrival", listed
     )
     block = F.explode(F.sequence(F.shiftright("_from", bits), F.shiftright("_to", bits)))
     spans = ordered.filter(F.col("_from").isNotNull()).select("interval", "_from", "_to", block.alias("_block"))
+    if n > CROWDED and not spans.groupBy("_block").count().filter(F.col("count") > CROWDED).isEmpty():
+        return _merge(rows, triggers, arrival)
     at = F.col(arrival)
     inside = (F.shiftright(at, bits) == F.col("_block")) & (at > F.col("_from")) & (at <= F.col("_to"))
     interval = F.when(at <= first, 0).when(at > last, n).otherwise(F.col("interval"))

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 from tallycast.operators import cleaning, lookup, outlook, slots
 from tallycast.plans import tables
 from tallycast.plans.tables import EVENTS_SQL, FACES_SQL, KEYS_SQL, RAW_SQL, REGISTERED_SQL
+from tallycast.session import scratch_path
+from tallycast.sources.readers import read_events_csv
+from tallycast.sources.writers import append_csv
 
 SLOTS_SQL = EVENTS_SQL + """,
 slot AS (SELECT CAST(hour(ts) AS INT) AS hour, CAST(minute(ts) AS INT) AS minute, key, count(*) AS votes
@@ -25,6 +28,19 @@ QUERIES["clean_events"] = clean_events
 ORACLES["clean_events"] = f"WITH {RAW_SQL} SELECT arrival, entity, key, ts FROM parsed WHERE ts IS NOT NULL"
 
 
+def csv_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events appended to header-less CSV files, read back by position, cleaned and counted per slot."""
+    path = scratch_path(spark, "csv")
+    append_csv(tables.raw_events(spark, folder).select("entity", "key", "event_time"), path)
+    return slots.slot_counts(cleaning.clean_events(read_events_csv(spark, path)))
+
+
+QUERIES["csv_events"] = csv_events
+ORACLES["csv_events"] = f"""WITH {RAW_SQL}
+SELECT CAST(hour(ts) AS INT) AS hour, CAST(minute(ts) AS INT) AS minute, key, count(*) AS votes
+FROM parsed WHERE ts IS NOT NULL GROUP BY 1, 2, 3"""
+
+
 def rejected_events(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.rejected_events(tables.raw_events(spark, folder))
 

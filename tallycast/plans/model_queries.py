@@ -3,14 +3,17 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallycast import schemas
 from tallycast.operators import autoregression as ar
 from tallycast.operators import outlook, regression
+from tallycast.operators.slots import slot_time_series
 from tallycast.plans import tables
 from tallycast.plans.event_queries import SLOTS_SQL, cumulative_slots, slot_counts_all
 from tallycast.plans.series_queries import MINUTES_SQL, minute_series
 from tallycast.plans.sql_models import CV_SQL, OLS_SQL, ar_forecast_sql, ar_sql
 from tallycast.plans.tables import KEYS_SQL
-from tallycast.session import scratch_path
+from tallycast.session import materialize, scratch_path
+from tallycast.sources.readers import decode_json
 from tallycast.sources.writers import load_models, save_models
 
 QUERIES = {}
@@ -115,8 +118,6 @@ slot_series AS (SELECT key, TIMESTAMP '2024-01-01' + to_minutes(hour * 60 + minu
 
 
 def slot_series(spark: SparkSession, folder: str) -> DataFrame:
-    from tallycast.operators.slots import slot_time_series
-
     return slot_time_series(cumulative_slots(spark, folder)).select(
         "key", F.col("slot_ts").alias("ts"), F.col("cumulative_votes").alias("total")
     )
@@ -225,7 +226,7 @@ WHERE step = {ar.LIVE_HORIZON} ORDER BY forecast DESC, rank LIMIT 1"""
 
 
 def history_and_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    history = minute_series(spark, folder)
+    history = materialize(minute_series(spark, folder), "minutes")
     both = outlook.history_and_forecast(history, ar.forecast(ar.fit(history)))
     return rounded(both, ["votes"], 4)
 
@@ -237,7 +238,7 @@ UNION ALL SELECT key, 'forecast', ts, round(forecast, 4) + 0.0 FROM ahead"""
 
 
 def publish_messages(spark: SparkSession, folder: str) -> DataFrame:
-    history = minute_series(spark, folder)
+    history = materialize(minute_series(spark, folder), "minutes")
     ahead = rounded(ar.forecast(ar.fit(history)), ["forecast"], 4)
     return outlook.publish_messages(history, ahead)
 
@@ -247,9 +248,6 @@ QUERIES["publish_messages"] = publish_messages
 
 def message_contents(spark: SparkSession, folder: str) -> DataFrame:
     """The published messages decoded again, one row per point."""
-    from tallycast import schemas
-    from tallycast.sources.readers import decode_json
-
     decoded = decode_json(publish_messages(spark, folder), schemas.MESSAGE)
     past = decoded.select("part", "candidate_id", F.lit("history").alias("kind"), F.explode("historical_data").alias("p"))
     ahead = decoded.select("part", "candidate_id", F.lit("forecast").alias("kind"), F.explode("forecast").alias("p"))

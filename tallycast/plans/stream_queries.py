@@ -3,14 +3,15 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.operators import lookup, refit, triggers
+from tallycast.operators import cleaning, lookup, refit, triggers
 from tallycast.plans import tables
 from tallycast.plans.event_queries import ORACLES as EVENT_ORACLES
 from tallycast.plans.series_queries import TRIGGERS_SQL
 from tallycast.plans.sql_models import ar_forecast_sql, ar_sql
-from tallycast.plans.tables import EVENTS_SQL
-from tallycast.session import scratch_path
-from tallycast.sources.readers import stream_files
+from tallycast.plans.tables import EVENTS_SQL, RAW_SQL
+from tallycast.session import materialize, scratch_path
+from tallycast.sources.readers import live_events, stream_files
+from tallycast.sources.writers import json_messages, write_messages
 from tallycast.streaming import jobs
 from tallycast.streaming.refit import LiveRefit
 from tallycast.streaming.sinks import latest_rows, read_batches, save_batches
@@ -27,6 +28,20 @@ def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def message_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events written as JSON messages and read as a stream of text, then decoded and cleaned."""
+    path = scratch_path(spark, "topic")
+    wire = tables.raw_events(spark, folder).select(
+        F.col("entity").cast("string").alias("Voter_id"),
+        F.col("key").alias("Candidate_id"),
+        F.col("event_time").alias("Vote_Time"),
+        F.format_string("picture/%d", "entity").alias("Voter_image"),
+    )
+    write_messages(json_messages(wire, "Candidate_id"), path)
+    messages = stream_files(spark, path, spark.createDataFrame([], "value string").schema, "text")
+    return cleaning.clean_events(live_events(messages))
+
+
 def _drained(spark: SparkSession, stream: DataFrame, mode: str, transform=None, schema=None) -> DataFrame:
     """Run a stream over everything available and read back what its batches wrote."""
     path = scratch_path(spark, "stream")
@@ -53,6 +68,16 @@ ORACLES["stream_hourly_counts"] = f"""WITH {EVENTS_SQL}
 SELECT key, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_start, count(*) AS n FROM ev GROUP BY 1, 2"""
 
 
+def stream_json_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages through the JSON sink and source: running totals of those whose time parses."""
+    stream = jobs.running_totals(message_stream(spark, folder))
+    return latest_rows(_drained(spark, stream, "update"), ["key"])
+
+
+QUERIES["stream_json_messages"] = stream_json_messages
+ORACLES["stream_json_messages"] = f"WITH {RAW_SQL} SELECT key, count(ts) AS running_total FROM parsed GROUP BY key"
+
+
 def stream_latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
     messages = event_stream(spark, folder).select("key", "arrival", "entity", "ts")
     return latest_rows(_drained(spark, jobs.latest_per_key(messages, offset="arrival"), "update"), ["key"])
@@ -130,8 +155,6 @@ ORACLES["refit_forecasts"] = _one_lag_sql()
 
 def refit_models(spark: SparkSession, folder: str) -> DataFrame:
     """Every refit's model of the full order, as far as it is well determined."""
-    from tallycast.session import materialize
-
     events = tables.events(spark, folder)
     fired = materialize(triggers.trigger_points(events), "triggers")
     parts = materialize(refit.history_parts(events, fired), "parts")

@@ -2,6 +2,7 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallycast.operators import triggers
 from tallycast.session import materialize
@@ -56,3 +57,14 @@ def test_no_triggers(make_events):
     events = make_events([("a", "2024-01-01 08:00:00")])
     points = materialize(triggers.trigger_points(events))
     assert triggers.snapshot_totals(events, points).count() == 0
+
+
+def test_a_crowded_trigger_list_is_merged_instead(make_events, spark):
+    """One far-off arrival stretches the blocks so that most triggers share one."""
+    rows = shuffled_events(0, n=200)
+    events = make_events(rows)
+    events = events.withColumn("arrival", F.when(events.arrival == 199, 10**12).otherwise(events.arrival))
+    points = materialize(events.filter("arrival % 2 = 0 OR arrival > 1000").select("arrival", "ts"))
+    got = {(r.arrival, r.key): r.total for r in triggers.snapshot_totals(events, points).collect()}
+    at = {r.arrival: min(r.arrival, 199) for r in points.collect()}
+    assert got == {(a, k): sum(1 for key, _ in rows[: i + 1] if key == k) for a, i in at.items() for k in ("a", "b", None)}
