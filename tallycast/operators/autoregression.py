@@ -101,8 +101,10 @@ def fit(
     return solve(normal_equations(series, by, ts, value, lags), by, lags)
 
 
-def forecast(models: DataFrame, horizon: int = LIVE_HORIZON, by: Sequence[str] = ("key",)) -> DataFrame:
-    """``(*by, step, ts, forecast)`` for steps 1 to ``horizon``, one minute apart from the last point."""
+def forecast(
+    models: DataFrame, horizon: int = LIVE_HORIZON, by: Sequence[str] = ("key",), minutes: int = 1
+) -> DataFrame:
+    """``(*by, step, ts, forecast)`` for steps 1 to ``horizon``, ``minutes`` apart from the last point on."""
     phi = F.col("phi")
 
     def advance(state, _):
@@ -122,6 +124,5 @@ def forecast(models: DataFrame, horizon: int = LIVE_HORIZON, by: Sequence[str] =
     rows = paths.select(*by, "last_ts", F.posexplode("path").alias("_at", "forecast"))
     step = F.col("_at") + 1
     zero = F.lit(0)
-    return rows.select(
-        *by, step.alias("step"), (F.col("last_ts") + F.make_dt_interval(zero, zero, step, zero)).alias("ts"), "forecast"
-    )
+    ahead = F.make_dt_interval(zero, zero, step * minutes, zero)
+    return rows.select(*by, step.alias("step"), (F.col("last_ts") + ahead).alias("ts"), "forecast")

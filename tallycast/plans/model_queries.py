@@ -4,14 +4,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast import schemas
+from tallycast.functions.times import MINUTES_PER_DAY
 from tallycast.operators import autoregression as ar
 from tallycast.operators import outlook, regression
+from tallycast.operators.slots import cumulative_slots as cumulative_slots_of
 from tallycast.operators.slots import slot_time_series
 from tallycast.plans import tables
 from tallycast.plans.event_queries import SLOTS_SQL, cumulative_slots, slot_counts_all
 from tallycast.plans.series_queries import MINUTES_SQL, minute_series
 from tallycast.plans.sql_models import CV_SQL, OLS_SQL, ar_forecast_sql, ar_sql
-from tallycast.plans.tables import KEYS_SQL
+from tallycast.plans.tables import KEYS_SQL, SHIPMENTS_SQL
 from tallycast.session import materialize, scratch_path
 from tallycast.sources.readers import decode_json
 from tallycast.sources.writers import load_models, save_models
@@ -212,6 +214,31 @@ def ar_forecast_slots(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["ar_forecast_slots"] = ar_forecast_slots
 ORACLES["ar_forecast_slots"] = _forecast_sql(SLOT_SERIES_SQL, "slot_series", 5, ar.BATCH_HORIZON)
 
+DAILY_SQL = f"""{SHIPMENTS_SQL},
+days AS (SELECT key, ts, count(*) AS votes FROM ship GROUP BY 1, 2),
+daily AS (SELECT *, CAST(sum(votes) OVER (PARTITION BY key ORDER BY ts) AS BIGINT) AS total FROM days)"""
+
+
+def shipments_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Cumulative shipments per key; the times are whole days."""
+    return cumulative_slots_of(tables.shipments(spark, folder), slot="minute").withColumnRenamed("cumulative_votes", "total")
+
+
+QUERIES["shipments_by_day"] = shipments_by_day
+ORACLES["shipments_by_day"] = f"WITH {DAILY_SQL} SELECT key, ts, votes, total FROM daily"
+
+
+def shipments_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten days ahead of the daily series."""
+    models = ar.fit(shipments_by_day(spark, folder))
+    return rounded(ar.forecast(models, ar.BATCH_HORIZON, minutes=MINUTES_PER_DAY), ["forecast"], 4)
+
+
+QUERIES["shipments_forecast"] = shipments_forecast
+ORACLES["shipments_forecast"] = f"""WITH {DAILY_SQL}, {ar_sql("daily", "key", "ts", 5)},
+{ar_forecast_sql("key", 5, ar.BATCH_HORIZON, 1440)}
+SELECT key, step, ts, round(forecast, 4) + 0.0 AS forecast FROM ahead"""
+
 _AHEAD_SQL = f"{MINUTES_SQL}, {ar_sql('minutes', 'key', 'ts', 5)}, {ar_forecast_sql('key', 5, ar.LIVE_HORIZON)}"
 
 

@@ -83,7 +83,7 @@ equations AS (SELECT {by}, count(l{lags}) AS n, {", ".join(sums)}, max({order})
     return out + f",\nphi AS (SELECT * FROM {relation})"
 
 
-def ar_forecast_sql(by: str, lags: int, horizon: int) -> str:
+def ar_forecast_sql(by: str, lags: int, horizon: int, minutes: int = 1) -> str:
     """Relation ``ahead(by…, step, ts, forecast)`` from ``phi``."""
     p = range(1, lags + 1)
     carried = ", ".join(f"phi_{i}" for i in p)
@@ -94,4 +94,4 @@ def ar_forecast_sql(by: str, lags: int, horizon: int) -> str:
     SELECT {by}, 0 AS step, last_ts, last_value AS value, {carried}, {start} FROM phi
     UNION ALL
     SELECT {by}, step + 1, last_ts, value + {new}, {carried}, {new}{shift} FROM w WHERE step < {horizon}) SELECT * FROM w),
-ahead AS (SELECT {by}, step, last_ts + to_minutes(step) AS ts, value AS forecast FROM walk WHERE step > 0)"""
+ahead AS (SELECT {by}, step, last_ts + to_minutes(step * {minutes}) AS ts, value AS forecast FROM walk WHERE step > 0)"""

@@ -170,14 +170,24 @@ ORACLES["refit_models"] = f"""WITH {SNAPSHOT_SQL}, {ar_sql("snapshots", _BY, "ts
 SELECT {_BY}, n, last_ts, last_value, {_PHI} FROM phi WHERE n >= 10 AND {_PIVOTS}"""
 
 
-def stream_refit(spark: SparkSession, folder: str) -> DataFrame:
-    """What live refits publish, order 1."""
+def _live_refits(spark: SparkSession, folder: str, lags: int) -> DataFrame:
     path = scratch_path(spark, "refit")
-    live = LiveRefit(f"{path}/tables", lags=1)
+    live = LiveRefit(f"{path}/tables", lags=lags)
     live.start(event_stream(spark, folder), f"{path}/checkpoint").awaitTermination()
     published = live.forecasts(spark).drop("batch_id")
     return published.withColumn("forecast", F.round("forecast", 4) + F.lit(0.0))
 
 
+def stream_refit(spark: SparkSession, folder: str) -> DataFrame:
+    """What live refits publish, order 1."""
+    return _live_refits(spark, folder, 1)
+
+
+def stream_refit_order5(spark: SparkSession, folder: str) -> DataFrame:
+    """What live refits publish, full order. Early refits are underdetermined, so there is no SQL for them."""
+    return _live_refits(spark, folder, 5)
+
+
+QUERIES["stream_refit_order5"] = stream_refit_order5
 QUERIES["stream_refit"] = stream_refit
 ORACLES["stream_refit"] = ORACLES["refit_forecasts"]

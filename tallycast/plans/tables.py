@@ -27,6 +27,16 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 EVENTS_SQL = "ev AS (SELECT event_id AS arrival, user_id AS entity, event_type AS key, ts FROM events)"
 
 
+def shipments(spark: SparkSession, folder: str) -> DataFrame:
+    """Line items as a second, larger source of events: keyed by their two flags, timed by the day shipped."""
+    return table(spark, folder, "lineitem").select(
+        F.concat("l_returnflag", "l_linestatus").alias("key"), F.col("l_shipdate").alias("ts")
+    )
+
+
+SHIPMENTS_SQL = "ship AS (SELECT l_returnflag || l_linestatus AS key, l_shipdate AS ts FROM lineitem)"
+
+
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """Events with their time as text. Error events come from a writer that does not pad the hour,
     and sign-ups from one that puts the day first, so part of their times does not parse."""
