@@ -271,6 +271,18 @@ def publish_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["publish_messages"] = publish_messages
+_SPANS_SQL = "spans AS (SELECT key, min(ts) AS first_ts, max(ts) AS end_ts FROM minutes GROUP BY key)"
+_PART_SQL = f"CAST(floor(date_diff('minute', first_ts, {{}}) / {outlook.POINTS_PER_MESSAGE}) AS INT)"
+ORACLES["publish_messages"] = f"""WITH {_AHEAD_SQL}, {_SPANS_SQL},
+past AS (SELECT key, {_PART_SQL.format("ts")} AS part, {_PART_SQL.format("end_ts")} + 1 AS parts,
+    list({{vote_time: strftime(ts, '%Y-%m-%d %H:%M:%S'), cumulative_votes: CAST(total AS DOUBLE)}} ORDER BY ts) AS history
+    FROM minutes JOIN spans USING (key) GROUP BY 1, 2, 3),
+coming AS (SELECT key,
+    list({{time: strftime(ts, '%Y-%m-%d %H:%M:%S'), votes: round(forecast, 4) + 0.0}} ORDER BY ts) AS forecast
+    FROM ahead GROUP BY key)
+SELECT key, part, parts, CAST(to_json({{candidate_id: key,
+    forecast: CASE WHEN part = parts - 1 THEN forecast ELSE [] END, historical_data: history}}) AS VARCHAR) AS value
+FROM past JOIN coming USING (key)"""
 
 
 def message_contents(spark: SparkSession, folder: str) -> DataFrame:
@@ -285,12 +297,10 @@ def message_contents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["message_contents"] = message_contents
-ORACLES["message_contents"] = f"""WITH {_AHEAD_SQL},
-spans AS (SELECT key, min(ts) AS first_ts, max(ts) AS end_ts FROM minutes GROUP BY key)
-SELECT CAST(floor(date_diff('minute', first_ts, ts) / {outlook.POINTS_PER_MESSAGE}) AS INT) AS part, key AS candidate_id,
-    'history' AS kind, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, CAST(total AS DOUBLE) AS votes
+ORACLES["message_contents"] = f"""WITH {_AHEAD_SQL}, {_SPANS_SQL}
+SELECT {_PART_SQL.format("ts")} AS part, key AS candidate_id, 'history' AS kind,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, CAST(total AS DOUBLE) AS votes
 FROM minutes JOIN spans USING (key)
 UNION ALL
-SELECT CAST(floor(date_diff('minute', first_ts, end_ts) / {outlook.POINTS_PER_MESSAGE}) AS INT), key, 'forecast',
-    strftime(ts, '%Y-%m-%d %H:%M:%S'), round(forecast, 4) + 0.0
+SELECT {_PART_SQL.format("end_ts")}, key, 'forecast', strftime(ts, '%Y-%m-%d %H:%M:%S'), round(forecast, 4) + 0.0
 FROM ahead JOIN spans USING (key)"""

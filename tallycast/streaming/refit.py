@@ -10,19 +10,22 @@ from tallycast.operators.triggers import candidate_changes, trigger_points
 from tallycast.session import materialize
 from tallycast.streaming.sinks import read_batches
 
+MARK = "arrival bigint, ts timestamp_ntz"
+TOTALS = "key string, so_far bigint"
 PUBLISHED = (
     "refit_arrival bigint, refit_ts timestamp_ntz, key string, step int, ts timestamp_ntz, forecast double"
 )
 
 
 class LiveRefit:
-    """Keeps three small tables below ``folder``, one sub-folder per micro-batch each:
+    """Keeps four tables below ``folder``, one sub-folder per micro-batch each:
 
-    ``marks`` (events at which the candidates' hour changed), ``parts`` (the history by key and
-    minute) and ``forecasts`` (what each refit published). A batch reads only what earlier batches
-    wrote and replaces its own sub-folders, so a replay after a failure repeats nothing. Events
-    themselves are read in their own batch and never again. Later batches must carry larger
-    arrival numbers, as offsets do.
+    ``mark`` (the newest candidate so far), ``totals`` (count per key so far), ``parts`` (the
+    history by key and minute) and ``forecasts`` (what each refit published). A batch reads the
+    mark and totals of the batch before it, and the history only when a refit fires, so an ordinary
+    batch costs the same however long the stream has run; its events are never read again. It
+    replaces its own sub-folders, so a replay after a failure repeats nothing. Later batches
+    must carry larger arrival numbers, as offsets do.
     """
 
     def __init__(self, folder: str, lags: int = ar.LAGS, horizon: int = ar.LIVE_HORIZON):
@@ -31,37 +34,36 @@ class LiveRefit:
     def _replace(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.folder}/{name}/batch_id={batch_id}")
 
-    def _upto(self, like: DataFrame, name: str, batch_id: int) -> DataFrame:
-        batches = read_batches(like.sparkSession, f"{self.folder}/{name}", like.schema)
-        return batches.filter(F.col("batch_id") <= batch_id)
+    def _previous(self, spark: SparkSession, name: str, schema: str, batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{self.folder}/{name}/batch_id={batch_id - 1}")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         events = materialize(batch.select("key", "ts", "arrival"), "batch")
 
-        changes = candidate_changes(events)
-        self._replace(changes, "marks", batch_id)
-        marks = self._upto(changes, "marks", batch_id)
-        fired = trigger_points(marks).join(
-            marks.filter(F.col("batch_id") == batch_id).select("arrival"), "arrival", "left_semi"
-        )
-        triggers = materialize(fired, "triggers")
+        changes = materialize(candidate_changes(events), "changes")
+        candidates = self._previous(spark, "mark", MARK, batch_id).unionByName(changes)
+        triggers = materialize(trigger_points(candidates).join(changes.select("arrival"), "arrival", "left_semi"), "triggers")
+        newest = candidates.agg(F.max_by(F.struct("arrival", "ts"), "arrival").alias("_newest"))
+        self._replace(newest.select("_newest.*").filter("arrival IS NOT NULL"), "mark", batch_id)
 
         parts = history_parts(events, triggers).drop("interval")
-        if batch_id > 0:
-            earlier = self._upto(parts, "parts", batch_id - 1).groupBy("key").agg(F.sum("n").alias("_n"))
-            columns = parts.columns
-            parts = (
-                parts.join(earlier.withColumnRenamed("key", "_key"), F.col("key").eqNullSafe(F.col("_key")), "left")
-                .withColumn("total", F.col("total") + F.coalesce("_n", F.lit(0)))
-                .select(columns)
-            )
-        self._replace(parts, "parts", batch_id)
+        totals = self._previous(spark, "totals", TOTALS, batch_id)
+        before = totals.select(F.col("key").alias("_key"), "so_far")
+        shifted = parts.join(before, F.col("key").eqNullSafe(F.col("_key")), "left").withColumn(
+            "total", F.col("total") + F.coalesce("so_far", F.lit(0))
+        )
+        self._replace(shifted.select(parts.columns), "parts", batch_id)
+        added = parts.groupBy("key").agg(F.sum("n").alias("so_far"))
+        self._replace(totals.unionByName(added).groupBy("key").agg(F.sum("so_far").alias("so_far")), "totals", batch_id)
 
         if triggers.isEmpty():
-            self._replace(events.sparkSession.createDataFrame([], PUBLISHED), "forecasts", batch_id)
+            self._replace(spark.createDataFrame([], PUBLISHED), "forecasts", batch_id)
             return
-        history = self._upto(parts, "parts", batch_id).drop("batch_id")
-        models = refit_models(history, triggers, self.lags)
+        history = read_batches(spark, f"{self.folder}/parts", parts.schema).filter(F.col("batch_id") <= batch_id)
+        models = refit_models(history.drop("batch_id"), triggers, self.lags)
         self._replace(ar.forecast(models, self.horizon, ["refit_arrival", "refit_ts", "key"]), "forecasts", batch_id)
 
     def start(self, events: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
