@@ -16,8 +16,8 @@ RUNNING_SQL = EVENTS_SQL + """,
 running AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY arrival) AS running_total FROM ev)"""
 
 MINUTES_SQL = RUNNING_SQL + """,
-seen AS (SELECT key, CAST(date_trunc('minute', ts) AS TIMESTAMP) AS ts, max(running_total) AS total
-    FROM running GROUP BY 1, 2),
+seen AS (SELECT key, CAST(date_trunc('minute', r.ts) AS TIMESTAMP) AS ts,
+    last(running_total ORDER BY r.ts, arrival) AS total FROM running r GROUP BY 1, 2),
 grid AS (SELECT key, unnest(generate_series(min(ts), max(ts), INTERVAL 1 MINUTE)) AS ts FROM seen GROUP BY key),
 minutes AS (SELECT key, ts, last_value(total IGNORE NULLS) OVER (PARTITION BY key ORDER BY ts
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM grid LEFT JOIN seen USING (key, ts))"""

@@ -123,7 +123,7 @@ ORACLES["stream_verify"] = EVENT_ORACLES["verify_events"]
 SNAPSHOT_SQL = TRIGGERS_SQL + """,
 running AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY arrival) AS running_total FROM ev),
 seen AS (SELECT t.arrival AS refit_arrival, t.ts AS refit_ts, r.key, CAST(date_trunc('minute', r.ts) AS TIMESTAMP) AS ts,
-    max(running_total) AS total FROM trigger_at t JOIN running r ON r.arrival <= t.arrival GROUP BY 1, 2, 3, 4),
+    last(running_total ORDER BY r.ts, r.arrival) AS total FROM trigger_at t JOIN running r ON r.arrival <= t.arrival GROUP BY 1, 2, 3, 4),
 grid AS (SELECT refit_arrival, refit_ts, key, unnest(generate_series(min(ts), max(ts), INTERVAL 1 MINUTE)) AS ts
     FROM seen GROUP BY 1, 2, 3),
 snapshots AS (SELECT grid.*, last_value(total IGNORE NULLS) OVER (PARTITION BY refit_arrival, key ORDER BY ts
