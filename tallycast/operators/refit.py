@@ -1,9 +1,9 @@
 """Forecasts as they were published at each refit.
 
 A refit sees everything that had arrived at its trigger. The history is kept as parts
-``(key, epoch_minute, interval, n, first_arrival, last_arrival, newest, total)``: one row per key
-and minute, split where a trigger falls into the minute, with the running total at the part's newest
-event. Every snapshot is a union of whole parts, so events are read once and never again.
+``(key, epoch_minute, interval, n, first_arrival, last_arrival, latest_ts, total)``: one row per
+key and minute, split where a trigger falls into the minute, with the running total at the part's newest
+event. Later parts of a minute hold later arrivals. Every snapshot is a union of whole parts, so events are read once and never again.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -30,7 +30,7 @@ def _same(left: str, right: str) -> Column:
 
 def _final_series(parts: DataFrame, lags: int) -> DataFrame:
     """The whole history's series with running sums of its lag products."""
-    totals = parts.groupBy("key", "epoch_minute").agg(F.max_by("total", "newest").alias("total"))
+    totals = parts.groupBy("key", "epoch_minute").agg(F.max_by("total", F.struct("latest_ts", "last_arrival")).alias("total"))
     features = ar.lag_features(fill_minutes(totals), ts="epoch_minute", lags=lags)
     upto_here = W.partitionBy("key").orderBy("epoch_minute").rowsBetween(W.unboundedPreceding, W.currentRow)
     terms = ar.lag_products(F.col("d"), [F.col(f"l{i}") for i in range(1, lags + 1)])
@@ -77,7 +77,7 @@ def refit_equations(parts: DataFrame, n: int, lags: int = ar.LAGS) -> DataFrame:
     ends = _snapshot_ends(parts, n, lags)
     pieces = parts.select(
         F.col("key").alias("_pkey"), F.col("epoch_minute").alias("_pminute"), F.col("interval").alias("_pinterval"),
-        "newest", F.col("total").alias("_ptotal"),
+        F.struct("latest_ts", "last_arrival").alias("_newest"), F.col("total").alias("_ptotal"),
     )
     arrived = (
         (F.col("epoch_minute") >= F.col("settled"))
@@ -86,7 +86,7 @@ def refit_equations(parts: DataFrame, n: int, lags: int = ar.LAGS) -> DataFrame:
         & (F.col("interval") >= F.col("_pinterval"))
     )
     own = ends.join(pieces, arrived, "left").groupBy(*REFIT, "settled", "epoch_minute").agg(
-        F.max_by("_ptotal", "newest").alias("_own")
+        F.max_by("_ptotal", "_newest").alias("_own")
     )
     values = own.join(final, _same("key", "_key") & (F.col("epoch_minute") == F.col("_minute")), "left")
     is_settled = F.col("epoch_minute") < F.col("settled")

@@ -32,9 +32,8 @@ def minute_totals(
     """Running total carried by the newest event of each minute that holds events.
 
     The newest event has the latest time, among equals the last arrival; its running total counts
-    what had arrived up to it. ``(key, epoch_minute, n, first_arrival, last_arrival, newest,
-    total)``, with ``split`` columns a row per part of a minute; ``newest`` is that event's
-    ``(ts, arrival)``.
+    what had arrived up to it. ``(key, epoch_minute, n, first_arrival, last_arrival, latest_ts,
+    total)``, with ``split`` columns a row per part of a minute.
 
     Where the arrival ranges of a key's rows do not overlap and the newest event came last, which
     is everywhere in a stream in order, sums of counts are already the answer and no event is
@@ -42,12 +41,12 @@ def minute_totals(
     """
     narrow = events.select(key, *split, arrival, ts, epoch_minute(F.col(ts)).alias("epoch_minute"))
     part = [key, "epoch_minute", *split]
-    moment = F.struct(F.col(ts).alias("ts"), F.col(arrival).alias("arrival"))
     counts = narrow.groupBy(*part).agg(
         F.count("*").alias("n"),
         F.min(arrival).alias("first_arrival"),
         F.max(arrival).alias("last_arrival"),
-        F.max(moment).alias("newest"),
+        F.max(ts).alias("latest_ts"),
+        F.max_by(ts, arrival).alias("_last_ts"),
     )
 
     # Windows over one row per key and minute: bounded by the calendar, not by the events.
@@ -57,9 +56,9 @@ def minute_totals(
     overlaps = F.coalesce(F.col("first_arrival") <= F.max("last_arrival").over(before), F.lit(False))
     runs = counts.withColumn("_overlaps", overlaps)
     shared = F.col("_overlaps") | F.lead("_overlaps", 1, False).over(by_arrival)
-    runs = runs.withColumn("_mixed", shared | (F.col("newest.arrival") < F.col("last_arrival")))
+    runs = runs.withColumn("_mixed", shared | (F.col("_last_ts") < F.col("latest_ts")))
     runs = materialize(runs.withColumn("total", F.sum("n").over(upto_here)), "minutes")
-    columns = ["n", "first_arrival", "last_arrival", "newest"]
+    columns = ["n", "first_arrival", "last_arrival", "latest_ts"]
     if runs.filter("_mixed").isEmpty():
         return runs.select(*part, *columns, "total")
 
@@ -67,7 +66,7 @@ def minute_totals(
     mixed = runs.filter("_mixed").select(*[F.col(c).alias(f"_{c}") for c in part])
     same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in part])
     ranked = prefix_sums(narrow.join(mixed, same, "left_semi"), [key], arrival, F.lit(1).cast("bigint"), "_rank")
-    ranks = ranked.groupBy(*part).agg(F.max_by("_rank", moment).alias("_rank"))
+    ranks = ranked.groupBy(*part).agg(F.max_by("_rank", F.struct(ts, arrival)).alias("_rank"))
     plain_so_far = F.sum(F.when(~F.col("_mixed"), F.col("n")).otherwise(0)).over(upto_here)
     mixed_so_far = F.sum(F.when(F.col("_mixed"), F.col("n")).otherwise(0)).over(upto_here)
     runs = runs.withColumns({"_plain": plain_so_far, "_before": F.when(~F.col("_mixed"), mixed_so_far)})
