@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallycast.llm.bpe import encode_decode
+from tallycast.llm.fingerprint import edited_likeness
+from tallycast.llm.licenses import scan
 from tallycast.llm.packing import pack
+from tallycast.llm.toxicity import classify
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return edited_likeness(table(spark, folder, "documents"))
+
+
 def op6_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"))
 
@@ -22,8 +29,16 @@ def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(table(spark, folder, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan(table(spark, folder, "documents"))
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_bpe_codec, op7_best_fit_packing)
+    f.__name__: f for f in (op4_fingerprints, op6_bpe_codec, op7_best_fit_packing, op8_license_scan, op10_toxicity)
 }
 
 ORACLES: dict[str, str] = {}

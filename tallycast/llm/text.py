@@ -119,11 +119,23 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = SPACED) -> W
     first = np.searchsorted(starts, offsets)
     if not len(starts):
         return Words(starts, lengths, np.zeros(0, np.uint64), first)
-    from_word = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(from_word, lengths)
+    return Words(starts, lengths, run_hashes(codes[inside], lengths), first)
+
+
+def run_hashes(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of runs that lie one after the other in ``codes`` (class codes, all above 0; no run is empty)."""
+    from_run = np.cumsum(lengths) - lengths
+    place = np.arange(len(codes)) - np.repeat(from_run, lengths)
     table = powers(int(lengths.max()))
-    values = BYTE_VALUES[codes[inside] - 1] * table[place]
-    return Words(starts, lengths, mix(np.add.reduceat(values, from_word)), first)
+    return mix(np.add.reduceat(BYTE_VALUES[codes - 1] * table[place], from_run))
+
+
+def prefix_hashes(data: np.ndarray, found: Words, size: int, kind: np.ndarray) -> np.ndarray:
+    """Hashes of the first ``size`` bytes of each word, or of all if it has fewer."""
+    if not len(found.starts):
+        return found.hashes
+    lengths = np.minimum(found.lengths, size)
+    return run_hashes(kind[data[spread(found.starts, lengths)]], lengths)
 
 
 def shingles(found: Words, width: int = 5) -> tuple[np.ndarray, np.ndarray]:
