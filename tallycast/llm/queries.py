@@ -10,6 +10,7 @@ from tallycast.llm.bpe import encode_decode
 from tallycast.llm.fingerprint import edited_likeness
 from tallycast.llm.licenses import scan
 from tallycast.llm.packing import pack
+from tallycast.llm.scoring import scores
 from tallycast.llm.toxicity import classify
 
 
@@ -33,12 +34,16 @@ def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan(table(spark, folder, "documents"))
 
 
+def op9_log_frequency_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return scores(table(spark, folder, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_fingerprints, op6_bpe_codec, op7_best_fit_packing, op8_license_scan, op10_toxicity)
+    f.__name__: f for f in (op4_fingerprints, op6_bpe_codec, op7_best_fit_packing, op8_license_scan, op9_log_frequency_scores, op10_toxicity)
 }
 
 ORACLES: dict[str, str] = {}

@@ -36,6 +36,7 @@ CALIBRATION = 1
 PER_CLASS = 4000
 MAX_ENTRIES = 1 << 18
 BEGINNING = 5  # bytes
+DOUBT = 2.0  # standard deviations
 WINDOW = 8  # words
 
 
@@ -121,11 +122,15 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def discounted(counts: np.ndarray, total: float, ones: float, twos: float, kinds: float) -> tuple[np.ndarray, float]:
-    """Kneser-Ney shares after the discount, and the mass it leaves to the backoff."""
+def discounted(counts: np.ndarray, total: float, ones: float, twos: float) -> tuple[np.ndarray, float]:
+    """Shares after the discount, and the mass that it leaves to the backoff.
+
+    To the Kneser-Ney discount come DOUBT standard deviations of the count, so that a few chance contexts tell nothing.
+    """
     discount = ones / (ones + 2 * twos) if ones else 0.5
     total = max(total, 1.0)
-    return np.maximum(counts - discount, 0) / total, max(discount * kinds, 0.5) / total
+    shares = np.maximum(counts - discount - DOUBT * np.sqrt(counts), 0) / total
+    return shares, max(1 - shares.sum(), 0.5 / total)
 
 
 def counts_by_class(pairs: DataFrame, name: str) -> tuple[DataFrame, dict]:
@@ -142,7 +147,6 @@ def counts_by_class(pairs: DataFrame, name: str) -> tuple[DataFrame, dict]:
                 F.sum(f"n{c}").alias(f"total{c}"),
                 F.count(F.when(F.col(f"n{c}") == 1, 1)).alias(f"ones{c}"),
                 F.count(F.when(F.col(f"n{c}") == 2, 1)).alias(f"twos{c}"),
-                F.count(F.when(F.col(f"n{c}") > 0, 1)).alias(f"kinds{c}"),
             )
         )
     ).first()
@@ -159,7 +163,7 @@ def smooth(pairs: DataFrame) -> Model:
     shared = (pooled + 0.5) / (everything + 1)
     shares, masses = [], []
     for c in (0, 1):
-        share, mass = discounted(begins[f"n{c}"].to_numpy(float), *(float(sums[f"{x}{c}"] or 0) for x in ("total", "ones", "twos", "kinds")))
+        share, mass = discounted(begins[f"n{c}"].to_numpy(float), *(float(sums[f"{x}{c}"] or 0) for x in ("total", "ones", "twos")))
         shares.append(share + mass * shared)
         masses.append(mass)
     other = np.log(masses[1]) - np.log(masses[0])
@@ -172,7 +176,7 @@ def smooth(pairs: DataFrame) -> Model:
     within = np.minimum((own + 0.5) / (np.where(at >= 0, pooled[at] if len(pooled) else 0, own) + 1), 1)
     probability, freed = [], []
     for c in (0, 1):
-        share, mass = discounted(entries[f"n{c}"].to_numpy(float), *(float(sums[f"{x}{c}"] or 0) for x in ("total", "ones", "twos", "kinds")))
+        share, mass = discounted(entries[f"n{c}"].to_numpy(float), *(float(sums[f"{x}{c}"] or 0) for x in ("total", "ones", "twos")))
         below = np.where(at >= 0, shares[c][at] if len(pooled) else 0, masses[c] * 0.5 / (everything + 1))
         probability.append(share + mass * below * within)
         freed.append(np.log(mass))
@@ -186,10 +190,10 @@ def smooth(pairs: DataFrame) -> Model:
     )
 
 
-def logistic(features: np.ndarray, toxic: np.ndarray, strength: float = 0.02) -> np.ndarray:
-    """Weights of a ridge-penalised logistic curve in which both classes weigh alike, by Newton's method."""
+def logistic(features: np.ndarray, toxic: np.ndarray, strength: float = 0.001) -> np.ndarray:
+    """Weights of a ridge-penalised logistic curve, by Newton's method."""
     x = np.column_stack([features, np.ones(len(features))])
-    share = np.where(toxic == 1, 0.5 / max(toxic.sum(), 1), 0.5 / max((1 - toxic).sum(), 1))
+    share = np.full(len(features), 1 / max(len(features), 1))
     weights, penalty = np.zeros(x.shape[1]), strength * np.diag([1.0] * features.shape[1] + [0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))

