@@ -11,6 +11,7 @@ from tallycast.llm.fingerprint import edited_likeness
 from tallycast.llm.licenses import scan
 from tallycast.llm.near import near_classes
 from tallycast.llm.packing import pack
+from tallycast.llm.repeats import repeat_digests
 from tallycast.llm.scoring import scores
 from tallycast.llm.toxicity import classify
 
@@ -23,6 +24,10 @@ def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_classes(table(spark, folder, "documents")).drop("node")
 
 
+def op3_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeat_digests(table(spark, folder, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edited_likeness(table(spark, folder, "documents"))
 
@@ -48,7 +53,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_duplicates, op4_fingerprints, op6_bpe_codec, op7_best_fit_packing, op8_license_scan, op9_log_frequency_scores, op10_toxicity)
+    f.__name__: f for f in (op2_near_duplicates, op3_repeated_strings, op4_fingerprints, op6_bpe_codec, op7_best_fit_packing, op8_license_scan, op9_log_frequency_scores, op10_toxicity)
 }
 
 ORACLES: dict[str, str] = {}
