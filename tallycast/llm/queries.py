@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallycast.llm import perspectives, topk
 from tallycast.llm.bpe import encode_decode
 from tallycast.llm.fingerprint import edited_likeness
 from tallycast.llm.licenses import scan
@@ -20,6 +21,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_products(table(spark, folder, "embeddings"))
+
+
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_classes(table(spark, folder, "documents")).drop("node")
 
@@ -32,6 +37,10 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return edited_likeness(table(spark, folder, "documents"))
 
 
+def op5_perspectives(spark: SparkSession, folder: str) -> DataFrame:
+    return perspectives.perspectives(table(spark, folder, "conversations"))
+
+
 def op6_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return encode_decode(table(spark, folder, "documents"))
 
@@ -53,7 +62,20 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_near_duplicates, op3_repeated_strings, op4_fingerprints, op6_bpe_codec, op7_best_fit_packing, op8_license_scan, op9_log_frequency_scores, op10_toxicity)
+    f.__name__: f
+    for f in (
+        op1_top_products,
+        op2_near_duplicates,
+        op3_repeated_strings,
+        op4_fingerprints,
+        op5_perspectives,
+        op6_bpe_codec,
+        op7_best_fit_packing,
+        op8_license_scan,
+        op9_log_frequency_scores,
+        op10_toxicity,
+    )
 }
 
-ORACLES: dict[str, str] = {}
+#: The others rest on hash sketches, automata, fitted models or byte positions; tests hold them against brute force.
+ORACLES: dict[str, str] = {"op1_top_products": topk.SQL, "op5_perspectives": perspectives.SQL}
