@@ -14,18 +14,19 @@ from tallycast.llm.repeats import without_repeats
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half; the model learns from the labelled ones among them."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, out="_toxicity").filter("_toxicity < 0.5").drop("_toxicity")
+    mark = "_toxicity"
+    while mark in docs.columns:
+        mark += "_"
+    return toxicity.score(docs, model, out=mark).filter(F.col(mark) < 0.5).drop(mark)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies, the one of the least id; a repeated row stays once."""
-    kept = near_classes(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).distinct()
-    rows = docs.withColumn("_text_node", text_node("text"))
-    found = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_node") == F.col("_node")), "left_semi")
-    repeated = rows.groupBy("doc_id", "_text_node").count().filter("count > 1").limit(1).count()
-    if repeated:
-        found = found.dropDuplicates(["doc_id", "_text_node"])
-    return found.drop("_text_node")
+    kept = near_classes(docs).filter("kept").select("doc_id", "node").distinct().alias("kept")
+    same = F.col("docs.doc_id").eqNullSafe(F.col("kept.doc_id")) & (text_node("docs.text") == F.col("kept.node"))
+    found = docs.alias("docs").join(kept, same, "left_semi")
+    repeated = docs.groupBy("doc_id", text_node("text").alias("node")).count().filter("count > 1").limit(1).count()
+    return found.dropDuplicates(["doc_id", "text"]) if repeated else found
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
