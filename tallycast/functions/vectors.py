@@ -16,7 +16,7 @@ def norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column, norm_a: Column | None = None, norm_b: Column | None = None) -> Column:
-    """Cosine similarity; null when a side is null or has no length.
+    """Cosine similarity; null when a side is null or has no length, or the two differ in size.
 
     Pass the norms when the vectors come from a dimension that already holds them.
     """
@@ -24,10 +24,18 @@ def cosine(a: Column, b: Column, norm_a: Column | None = None, norm_b: Column |
     return F.when(length > 0, dot(a, b) / length)
 
 
-def verdict(has_reference: Column, similarity: Column, threshold: float = MATCH_THRESHOLD) -> Column:
-    """``no_reference``, ``not_detected``, ``match`` or ``mismatch``."""
+def comparable(a: Column, b: Column) -> Column:
+    """False for two embeddings of different sizes, which is an error in the data."""
+    return F.coalesce(F.size(a) == F.size(b), F.lit(True)) | a.isNull() | b.isNull()
+
+
+def verdict(
+    has_reference: Column, similarity: Column, threshold: float = MATCH_THRESHOLD, same_size: Column | None = None
+) -> Column:
+    """``no_reference``, ``not_comparable`` (sizes differ), ``not_detected``, ``match`` or ``mismatch``."""
     return (
         F.when(~has_reference, "no_reference")
+        .when(~(F.lit(True) if same_size is None else same_size), "not_comparable")
         .when(similarity.isNull(), "not_detected")
         .when(similarity >= threshold, "match")
         .otherwise("mismatch")

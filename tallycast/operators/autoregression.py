@@ -74,10 +74,11 @@ def _solve(lags: int, by: Sequence[str]):
                 target[:, i - 1] = batch[f"r_{i}"]
                 for j in range(i, lags + 1):
                     gram[:, i - 1, j - 1] = gram[:, j - 1, i - 1] = batch[f"g_{i}_{j}"]
-            solved = [solve_lags(g, r, n) for g, r, n in zip(gram, target, batch["n"])]
+            phi, status = solve_lags(gram, target, batch["n"].to_numpy())
             out = batch[[*by, "n", "last_ts", "last_value", "tail"]].copy()
-            out["phi"] = pd.Series([None if phi is None else phi.tolist() for phi, _ in solved], index=out.index, dtype=object)
-            out["status"] = [status for _, status in solved]
+            known = np.isin(status, ("ok", "singular"))
+            out["phi"] = pd.Series([x.tolist() if k else None for x, k in zip(phi, known)], index=out.index, dtype=object)
+            out["status"] = status
             yield out
 
     return solve_batches
@@ -96,7 +97,7 @@ def fit(
     """One model row per series: ``phi``, ``status`` and the series' end.
 
     ``singular`` models (constant slope, short series) still forecast; ``insufficient`` ones have
-    null ``phi`` and publish nothing.
+    null ``phi`` and publish nothing, nor do ``failed`` ones, whose values are missing or infinite.
     """
     return solve(normal_equations(series, by, ts, value, lags), by, lags)
 

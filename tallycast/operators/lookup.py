@@ -3,12 +3,9 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallycast.functions.vectors import MATCH_THRESHOLD, cosine, norm, verdict
-from tallycast.session import materialize
+from tallycast.functions.vectors import MATCH_THRESHOLD, comparable, cosine, norm, verdict
 
-BROADCAST_ROWS = 50_000  # about 30 MB of embeddings
-FREQUENT_SHARE = 0.00002  # 50 000 values at most
-JUDGED_EVENTS = 20_000_000
+BROADCAST_BYTES = 64 << 20  # largest dimension, as JSON text, that goes to every task
 
 
 def first_per_entity(dimension: DataFrame, entity: str, order: str | None = None) -> DataFrame:
@@ -19,46 +16,31 @@ def first_per_entity(dimension: DataFrame, entity: str, order: str | None = None
     return dimension.groupBy(entity).agg(first.alias("_first")).select(entity, *[F.col("_first")[c].alias(c) for c in rest])
 
 
-def frequent_values(events: DataFrame, on: str) -> DataFrame:
-    """Values that hold more than ``FREQUENT_SHARE`` of the events, so never many.
-
-    Judged on a sample once there are more than ``JUDGED_EVENTS``; this only decides which way a
-    value is joined, and either way is exact.
-    """
-    total = events.count()
-    share = min(1.0, JUDGED_EVENTS / max(total, 1))
-    judged = events.select(on).sample(share, seed=7) if share < 1.0 else events.select(on)
-    enough = max(1.0, total * share * FREQUENT_SHARE)
-    return judged.groupBy(on).count().filter(F.col(on).isNotNull() & (F.col("count") >= enough)).select(on)
+def is_small(dimension: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether a dimension may go to every task: one pass over it measures its rows, not their number."""
+    size = F.length(F.to_json(F.struct(*dimension.columns))).cast("bigint")
+    return (dimension.agg(F.sum(size)).first()[0] or 0) <= limit
 
 
 def join_dimension(
-    events: DataFrame, dimension: DataFrame, on: str, how: str = "left", broadcast_rows: int = BROADCAST_ROWS
+    events: DataFrame, dimension: DataFrame, on: str, how: str = "left", small: bool | None = None
 ) -> DataFrame:
-    """Join events to a dimension with one row per ``on``, however unevenly events spread over it.
+    """Join events to a dimension with one row per ``on``, reading the events once.
 
-    A dimension of at most ``broadcast_rows`` rows (counted) goes to every task. Beyond that,
-    events are shuffled, except those of frequent values: there are at most
-    ``1 / FREQUENT_SHARE`` of these, so their dimension rows can be broadcast and no partition is
-    piled up. Null values match nothing and stay out of the shuffle as well.
+    A ``small`` dimension (measured by ``is_small`` unless given; a stream decides once, at its start) goes to every
+    task. Any other is joined by a shuffle of both sides, and adaptive execution splits the partitions of values
+    that hold many events, nulls included, and repeats the one dimension row that each needs.
     """
-    if dimension.select(on).limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if is_small(dimension) if small is None else small:
         return events.join(F.broadcast(dimension), on, how)
-    frequent = materialize(frequent_values(events, on), "frequent")
-    flagged = events.join(F.broadcast(frequent.withColumn("_frequent", F.lit(True))), on, "left")
-    apart = F.col("_frequent").isNotNull() | F.col(on).isNull()
-    few = dimension.join(F.broadcast(frequent), on, "left_semi")
-    return (
-        flagged.filter(apart).drop("_frequent").join(F.broadcast(few), on, how)
-        .unionByName(flagged.filter(~apart).drop("_frequent").join(dimension, on, how))
-    )
+    return events.join(dimension.hint("merge"), on, how)
 
 
 def entity_lookup(
-    events: DataFrame, dimension: DataFrame, entity: str = "entity", broadcast_rows: int = BROADCAST_ROWS
+    events: DataFrame, dimension: DataFrame, entity: str = "entity", small: bool | None = None
 ) -> DataFrame:
     """Every event with its entity's columns, null when the entity is not registered."""
-    return join_dimension(events, dimension, entity, "left", broadcast_rows)
+    return join_dimension(events, dimension, entity, "left", small)
 
 
 def reference_embeddings(dimension: DataFrame, entity: str, embedding: str = "embedding") -> DataFrame:
@@ -76,16 +58,17 @@ def verify(
     live: str = "live",
     live_norm: Column | None = None,
     threshold: float = MATCH_THRESHOLD,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool | None = None,
 ) -> DataFrame:
     """Add ``similarity`` of the live and the registered embedding, and the ``verdict``.
 
     Verification never removes an event: counting is independent of it.
     """
-    joined = entity_lookup(events, references, broadcast_rows=broadcast_rows)
+    joined = entity_lookup(events, references, small=small)
     similarity = cosine(F.col(live), F.col("reference"), live_norm, F.col("reference_norm"))
+    sizes = comparable(F.col(live), F.col("reference"))
     return (
         joined.withColumn("similarity", similarity)
-        .withColumn("verdict", verdict(F.col("reference").isNotNull(), F.col("similarity"), threshold))
+        .withColumn("verdict", verdict(F.col("reference").isNotNull(), F.col("similarity"), threshold, sizes))
         .drop("reference", "reference_norm")
     )

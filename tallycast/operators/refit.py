@@ -126,6 +126,22 @@ def refit_models(parts: DataFrame, triggers: DataFrame, lags: int = ar.LAGS) ->
     return refits.join(models, "interval").drop("interval")
 
 
+def refit_histories(parts: DataFrame, triggers: DataFrame) -> DataFrame:
+    """The series each refit saw: ``(refit_arrival, key, ts, total)`` per minute, forward filled.
+
+    Every refit's whole history is the answer, so the rows are refits times minutes. ``parts`` and
+    ``triggers`` are read several times: pass materialized tables.
+    """
+    n = triggers.count()
+    placed = place(parts.drop("interval").withColumn("arrival", F.col("last_arrival")), triggers).filter(F.col("interval") < n)
+    later = F.explode(F.sequence("interval", F.lit(max(n - 1, 0)).cast("bigint")))
+    newest = F.struct("latest_ts", "last_arrival")
+    seen = placed.withColumn("interval", later).groupBy(*REFIT, "epoch_minute").agg(F.max_by("total", newest).alias("total"))
+    refits = numbered(triggers).select("interval", F.col("arrival").alias("refit_arrival"))
+    filled = fill_minutes(seen, REFIT).join(F.broadcast(refits) if n < 100_000 else refits, "interval")
+    return filled.select("refit_arrival", "key", minute_start(F.col("epoch_minute")).alias("ts"), "total")
+
+
 def refit_forecasts(
     events: DataFrame, triggers: DataFrame, lags: int = ar.LAGS, horizon: int = ar.LIVE_HORIZON
 ) -> DataFrame:

@@ -123,6 +123,16 @@ ORACLES["entity_lookup"] = f"""WITH {EVENTS_SQL}, {REGISTERED_SQL}
 SELECT arrival, ev.entity, name FROM ev LEFT JOIN registered USING (entity)"""
 
 
+def entity_lookup_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """The lookup in a dimension too large to go to every task."""
+    found = lookup.entity_lookup(tables.events(spark, folder), tables.registered(spark, folder), small=False)
+    return found.select("arrival", "entity", "name")
+
+
+QUERIES["entity_lookup_shuffled"] = entity_lookup_shuffled
+ORACLES["entity_lookup_shuffled"] = ORACLES["entity_lookup"]
+
+
 def known_events(spark: SparkSession, folder: str) -> DataFrame:
     known = cleaning.known_events(tables.events(spark, folder), tables.key_dimension(spark))
     return known.select("arrival", "key", "label", "rank")
@@ -154,12 +164,12 @@ ORACLES["json_props"] = """SELECT event_id, coalesce(CAST(props ->> 'k' AS BIGIN
     coalesce(props ->> 'source', 'Unknown') AS source FROM events"""
 
 
-def _verified(spark: SparkSession, folder: str) -> DataFrame:
+def _verified(spark: SparkSession, folder: str, small: bool | None = None) -> DataFrame:
     events = tables.table(spark, folder, "events").select(
         F.col("event_id").alias("arrival"), F.col("user_id").alias("entity"), F.col("event_type").alias("key"), "props"
     )
-    live = tables.live_events(events, tables.table(spark, folder, "embeddings"))
-    return lookup.verify(live, tables.references(spark, folder), "live", F.col("live_norm"))
+    live = tables.live_events(events, tables.table(spark, folder, "embeddings"), small)
+    return lookup.verify(live, tables.references(spark, folder), "live", F.col("live_norm"), small=small)
 
 
 def embedding_similarity(spark: SparkSession, folder: str) -> DataFrame:
@@ -178,6 +188,15 @@ QUERIES["verify_events"] = verify_events
 ORACLES["verify_events"] = f"WITH {FACES_SQL} SELECT arrival, entity, key, verdict FROM verdicts"
 
 
+def verify_events_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdicts with more embeddings than go to every task."""
+    return _verified(spark, folder, small=False).select("arrival", "entity", "key", "verdict")
+
+
+QUERIES["verify_events_shuffled"] = verify_events_shuffled
+ORACLES["verify_events_shuffled"] = ORACLES["verify_events"]
+
+
 def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
     return outlook.latest_per_key(tables.events(spark, folder), offset="arrival")
 

@@ -7,6 +7,7 @@ from tallycast import schemas
 from tallycast.functions.times import MINUTES_PER_DAY
 from tallycast.operators import autoregression as ar
 from tallycast.operators import outlook, regression
+from tallycast.operators.series import last_seen
 from tallycast.operators.slots import cumulative_slots as cumulative_slots_of
 from tallycast.operators.slots import slot_time_series
 from tallycast.plans import tables
@@ -15,8 +16,8 @@ from tallycast.plans.series_queries import MINUTES_SQL, minute_series
 from tallycast.plans.sql_models import CV_SQL, OLS_SQL, ar_forecast_sql, ar_sql
 from tallycast.plans.tables import KEYS_SQL, SHIPMENTS_SQL
 from tallycast.session import materialize, scratch_path
-from tallycast.sources.readers import decode_json
-from tallycast.sources.writers import load_models, save_models
+from tallycast.sources.readers import decode_json, read_table_csv
+from tallycast.sources.writers import load_models, save_models, write_messages
 
 QUERIES = {}
 ORACLES = {}
@@ -106,7 +107,7 @@ def model_registry_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     models = lr_fit_ols(spark, folder)
     path = scratch_path(spark, "models")
     save_models(models, path, "latest")
-    return load_models(spark, path, models, "latest")
+    return load_models(spark, path, "latest")
 
 
 QUERIES["model_registry_roundtrip"] = model_registry_roundtrip
@@ -211,8 +212,31 @@ def ar_forecast_slots(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(ahead, ["forecast"], 4)
 
 
+def ar_registry_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Autoregressive models stored, loaded without knowing their schema, and run ten steps ahead."""
+    path = scratch_path(spark, "registry")
+    save_models(ar.fit(slot_series(spark, folder)), path, "latest")
+    return rounded(ar.forecast(load_models(spark, path, "latest"), ar.BATCH_HORIZON), ["forecast"], 4)
+
+
+def stamped_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """A forecast stored by key and minute only, stamped with each key's last time when it is read."""
+    series = materialize(slot_series(spark, folder), "slots")
+    path = scratch_path(spark, "flat")
+    ahead = ar.forecast(ar.fit(series), ar.BATCH_HORIZON)
+    flat = ahead.select(F.col("key").alias("candidate_id"), F.col("step").alias("minute"), "forecast")
+    flat.write.csv(path, header=True)
+    stored = read_table_csv(spark, path, schemas.FORECAST).withColumnsRenamed({"candidate_id": "key"})
+    stamped = outlook.stamp_forecast(stored, last_seen(series))
+    return rounded(stamped.select("key", F.col("minute").alias("step"), "ts", "forecast"), ["forecast"], 4)
+
+
 QUERIES["ar_forecast_slots"] = ar_forecast_slots
+QUERIES["ar_registry_forecast"] = ar_registry_forecast
+QUERIES["stamped_forecast"] = stamped_forecast
 ORACLES["ar_forecast_slots"] = _forecast_sql(SLOT_SERIES_SQL, "slot_series", 5, ar.BATCH_HORIZON)
+ORACLES["ar_registry_forecast"] = ORACLES["stamped_forecast"] = ORACLES["ar_forecast_slots"]
+
 
 DAILY_SQL = f"""{SHIPMENTS_SQL},
 days AS (SELECT key, ts, count(*) AS votes FROM ship GROUP BY 1, 2),
@@ -280,20 +304,17 @@ past AS (SELECT key, {_PART_SQL.format("ts")} AS part, {_PART_SQL.format("end_ts
 coming AS (SELECT key,
     list({{time: strftime(ts, '%Y-%m-%d %H:%M:%S'), votes: round(forecast, 4) + 0.0}} ORDER BY ts) AS forecast
     FROM ahead GROUP BY key)
-SELECT key, part, parts, CAST(to_json({{candidate_id: key,
+SELECT key, CAST(0 AS BIGINT) AS publication, part, parts, CAST(to_json({{candidate_id: key, publication: 0, part: part, parts: parts,
     forecast: CASE WHEN part = parts - 1 THEN forecast ELSE [] END, historical_data: history}}) AS VARCHAR) AS value
 FROM past JOIN coming USING (key)"""
 
 
 def message_contents(spark: SparkSession, folder: str) -> DataFrame:
-    """The published messages decoded again, one row per point."""
-    decoded = decode_json(publish_messages(spark, folder), schemas.MESSAGE)
-    past = decoded.select("part", "candidate_id", F.lit("history").alias("kind"), F.explode("historical_data").alias("p"))
-    ahead = decoded.select("part", "candidate_id", F.lit("forecast").alias("kind"), F.explode("forecast").alias("p"))
-    names = ["time", "votes"]
-    return past.select("part", "candidate_id", "kind", F.col("p.vote_time").alias("time"), F.col("p.cumulative_votes").alias("votes")).union(
-        ahead.select("part", "candidate_id", "kind", *[F.col(f"p.{c}").alias(c) for c in names])
-    )
+    """The published messages written as text, read and decoded again, one row per point."""
+    path = scratch_path(spark, "messages")
+    write_messages(publish_messages(spark, folder), path)
+    decoded = decode_json(spark.read.text(path), schemas.MESSAGE)
+    return outlook.points_of(decoded).drop("publication", "parts")
 
 
 QUERIES["message_contents"] = message_contents

@@ -97,6 +97,16 @@ SELECT t.arrival, t.ts, ev.key, count(*) FILTER (ev.arrival <= t.arrival) AS tot
 FROM trigger_at t, ev GROUP BY 1, 2, 3"""
 
 
+def snapshot_totals_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for a trigger list too long to go to every task."""
+    points = materialize(trigger_points(spark, folder), "triggers")
+    return triggers.snapshot_totals(tables.events(spark, folder), points, listed=0)
+
+
+QUERIES["snapshot_totals_merged"] = snapshot_totals_merged
+ORACLES["snapshot_totals_merged"] = ORACLES["snapshot_totals"]
+
+
 def key_from_path(spark: SparkSession, folder: str) -> DataFrame:
     """The minute series written as one CSV folder per key and read back, the key taken from the path."""
     path = scratch_path(spark, "per-key")

@@ -3,14 +3,16 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.operators import cleaning, lookup, refit, triggers
+from tallycast import schemas
+from tallycast.operators import autoregression as ar
+from tallycast.operators import cleaning, lookup, outlook, refit, triggers
 from tallycast.plans import tables
 from tallycast.plans.event_queries import ORACLES as EVENT_ORACLES
 from tallycast.plans.series_queries import TRIGGERS_SQL
 from tallycast.plans.sql_models import ar_forecast_sql, ar_sql
 from tallycast.plans.tables import EVENTS_SQL, RAW_SQL
 from tallycast.session import materialize, scratch_path
-from tallycast.sources.readers import live_events, stream_files
+from tallycast.sources.readers import decode_json, live_events, stream_files
 from tallycast.sources.writers import json_messages, write_messages
 from tallycast.streaming import jobs
 from tallycast.streaming.refit import LiveRefit
@@ -20,9 +22,27 @@ QUERIES = {}
 ORACLES = {}
 
 
+BATCHES = 4  # micro-batches that a query's feed arrives in
+
+
+def fed(spark: SparkSession, rows: DataFrame, order: str, label: str) -> str:
+    """The rows written as one file per micro-batch, a range of ``order`` each, in that order."""
+    path = scratch_path(spark, label)
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    if low is None:
+        low = high = 0
+    width = (high - low) // BATCHES + 1
+    for i in range(BATCHES):
+        from_here, until = low + i * width, low + (i + 1) * width
+        share = rows.filter((F.col(order) >= from_here) & (F.col(order) < until))
+        share.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = tables.table(spark, folder, "events").schema
-    source = stream_files(spark, folder, schema, "parquet", pathGlobFilter="events.parquet")
+    events = tables.table(spark, folder, "events")
+    path = fed(spark, events, "event_id", "feed")
+    source = stream_files(spark, path, events.schema, "parquet", maxFilesPerTrigger="1")
     return source.select(
         F.col("event_id").alias("arrival"), F.col("user_id").alias("entity"), F.col("event_type").alias("key"), "ts", "props"
     )
@@ -38,7 +58,8 @@ def message_stream(spark: SparkSession, folder: str) -> DataFrame:
         F.format_string("picture/%d", "entity").alias("Voter_image"),
     )
     write_messages(json_messages(wire, "Candidate_id"), path)
-    messages = stream_files(spark, path, spark.createDataFrame([], "value string").schema, "text")
+    schema = spark.createDataFrame([], "value string").schema
+    messages = stream_files(spark, path, schema, "text", maxFilesPerTrigger="1")
     return cleaning.clean_events(live_events(messages))
 
 
@@ -68,6 +89,21 @@ ORACLES["stream_hourly_counts"] = f"""WITH {EVENTS_SQL}
 SELECT key, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_start, count(*) AS n FROM ev GROUP BY 1, 2"""
 
 
+def stream_hourly_counts_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Hours of the raw feed, in which sign-ups carry times months away from their neighbours': all count."""
+    raw = tables.raw_events(spark, folder).withColumn("_order", F.pmod(F.xxhash64("entity", "event_time"), F.lit(1000)))
+    path = fed(spark, raw, "_order", "late-feed")
+    source = stream_files(spark, path, raw.schema, "parquet", maxFilesPerTrigger="1")
+    stream = jobs.hourly_counts(cleaning.clean_events(source))
+    return latest_rows(_drained(spark, stream, "update"), ["key", "hour_start"])
+
+
+QUERIES["stream_hourly_counts_late"] = stream_hourly_counts_late
+ORACLES["stream_hourly_counts_late"] = f"""WITH {RAW_SQL}
+SELECT key, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_start, count(*) AS n
+FROM parsed WHERE ts IS NOT NULL GROUP BY 1, 2"""
+
+
 def stream_json_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Messages through the JSON sink and source: running totals of those whose time parses."""
     stream = jobs.running_totals(message_stream(spark, folder))
@@ -90,9 +126,11 @@ ORACLES["stream_latest_per_key"] = EVENT_ORACLES["latest_per_key"]
 def stream_entity_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """The lookup runs as a batch join per micro-batch, against the dimension as it is then."""
     stream = event_stream(spark, folder)
+    small = lookup.is_small(tables.registered(spark, folder))
 
     def look_up(batch: DataFrame) -> DataFrame:
-        return lookup.entity_lookup(batch, tables.registered(batch.sparkSession, folder)).select("arrival", "entity", "name")
+        known = tables.registered(batch.sparkSession, folder)
+        return lookup.entity_lookup(batch, known, small=small).select("arrival", "entity", "name")
 
     written = spark.createDataFrame([], "arrival bigint, entity bigint, name string").schema
     return _drained(spark, stream, "append", look_up, written).drop("batch_id")
@@ -104,11 +142,12 @@ ORACLES["stream_entity_lookup"] = EVENT_ORACLES["entity_lookup"]
 
 def stream_verify(spark: SparkSession, folder: str) -> DataFrame:
     stream = event_stream(spark, folder)
+    small = lookup.is_small(tables.table(spark, folder, "embeddings"))
 
     def check(batch: DataFrame) -> DataFrame:
         session = batch.sparkSession
-        live = tables.live_events(batch, tables.table(session, folder, "embeddings"))
-        checked = lookup.verify(live, tables.references(session, folder), "live", F.col("live_norm"))
+        live = tables.live_events(batch, tables.table(session, folder, "embeddings"), small)
+        checked = lookup.verify(live, tables.references(session, folder), "live", F.col("live_norm"), small=small)
         return checked.select("arrival", "entity", "key", "verdict")
 
     written = spark.createDataFrame([], "arrival bigint, entity bigint, key string, verdict string").schema
@@ -133,13 +172,11 @@ snapshots AS (SELECT grid.*, last_value(total IGNORE NULLS) OVER (PARTITION BY r
 _BY = "refit_arrival, refit_ts, key"
 
 
-def _one_lag_sql() -> str:
+def _one_lag_relations() -> str:
     walk = ar_sql("snapshots", _BY, "ts", 1)
     # Without any movement the minimum-norm coefficient is 0.
     walk = walk.replace("(a0_1_2) / a0_1_1 AS phi_1", "coalesce(a0_1_2 / nullif(a0_1_1, 0), 0) AS phi_1")
-    return f"""WITH {SNAPSHOT_SQL}, {walk}, {ar_forecast_sql(_BY, 1, 45)}
-SELECT {_BY}, step, ts, round(forecast, 4) + 0.0 AS forecast FROM ahead
-WHERE (refit_arrival, key) IN (SELECT (refit_arrival, key) FROM equations WHERE n > 0)"""
+    return f"WITH {SNAPSHOT_SQL}, {walk}, {ar_forecast_sql(_BY, 1, 45)}"
 
 
 def refit_forecasts(spark: SparkSession, folder: str) -> DataFrame:
@@ -150,44 +187,80 @@ def refit_forecasts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["refit_forecasts"] = refit_forecasts
-ORACLES["refit_forecasts"] = _one_lag_sql()
+ORACLES["refit_forecasts"] = f"""{_one_lag_relations()}
+SELECT {_BY}, step, ts, round(forecast, 4) + 0.0 AS forecast FROM ahead
+WHERE (refit_arrival, key) IN (SELECT (refit_arrival, key) FROM equations WHERE n > 0)"""
 
 
 def refit_models(spark: SparkSession, folder: str) -> DataFrame:
-    """Every refit's model of the full order, as far as it is well determined."""
+    """Every refit's model of the full order; coefficients where they are well determined."""
     events = tables.events(spark, folder)
     fired = materialize(triggers.trigger_points(events), "triggers")
     parts = materialize(refit.history_parts(events, fired), "parts")
-    models = refit.refit_models(parts, fired).filter("status = 'ok'")
-    phi = [(F.round(F.col("phi")[i], 6) + F.lit(0.0)).alias(f"phi_{i + 1}") for i in range(5)]
-    return models.select("refit_arrival", "refit_ts", "key", "n", "last_ts", "last_value", *phi)
+    models = refit.refit_models(parts, fired)
+    ok = F.col("status") == "ok"
+    phi = [F.when(ok, F.round(F.col("phi")[i], 6) + F.lit(0.0)).alias(f"phi_{i + 1}") for i in range(5)]
+    return models.select("refit_arrival", "refit_ts", "key", "n", "last_ts", "last_value", "status", *phi)
 
 
 QUERIES["refit_models"] = refit_models
-_PIVOTS = " AND ".join(f"a4_{i}_{i} > 1e-9" for i in range(1, 6))
-_PHI = ", ".join(f"round(phi_{i}, 6) + 0.0 AS phi_{i}" for i in range(1, 6))
-ORACLES["refit_models"] = f"""WITH {SNAPSHOT_SQL}, {ar_sql("snapshots", _BY, "ts", 5)}
-SELECT {_BY}, n, last_ts, last_value, {_PHI} FROM phi WHERE n >= 10 AND {_PIVOTS}"""
+# A pivot of 0 ends the elimination: everything behind it is null.
+_FULL_SQL = ar_sql("snapshots", _BY, "ts", 5)
+_RANK = "n >= 10 AND " + " AND ".join(f"coalesce(a4_{i}_{i} > 1e-9, false)" for i in range(1, 6))
+_STATUS = f"CASE WHEN n < 1 THEN 'insufficient' WHEN {_RANK} THEN 'ok' ELSE 'singular' END"
+_PHI = ", ".join(f"CASE WHEN {_RANK} THEN round(phi_{i}, 6) + 0.0 END AS phi_{i}" for i in range(1, 6))
+ORACLES["refit_models"] = f"""WITH {SNAPSHOT_SQL}, {_FULL_SQL}
+SELECT {_BY}, n, last_ts, last_value, {_STATUS} AS status, {_PHI} FROM phi"""
 
 
-def _live_refits(spark: SparkSession, folder: str, lags: int) -> DataFrame:
+def _live_refits(spark: SparkSession, folder: str, lags: int, publish: str = "none") -> LiveRefit:
     path = scratch_path(spark, "refit")
-    live = LiveRefit(f"{path}/tables", lags=lags)
+    live = LiveRefit(f"{path}/tables", lags=lags, publish=publish, digits=4)
     live.start(event_stream(spark, folder), f"{path}/checkpoint").awaitTermination()
-    published = live.forecasts(spark).drop("batch_id")
-    return published.withColumn("forecast", F.round("forecast", 4) + F.lit(0.0))
+    return live
 
 
 def stream_refit(spark: SparkSession, folder: str) -> DataFrame:
-    """What live refits publish, order 1."""
-    return _live_refits(spark, folder, 1)
+    """What live refits forecast, order 1."""
+    return _live_refits(spark, folder, 1).forecasts(spark).drop("batch_id")
+
+
+QUERIES["stream_refit"] = stream_refit
+ORACLES["stream_refit"] = ORACLES["refit_forecasts"]
 
 
 def stream_refit_order5(spark: SparkSession, folder: str) -> DataFrame:
-    """What live refits publish, full order. Early refits are underdetermined, so there is no SQL for them."""
-    return _live_refits(spark, folder, 5)
+    """What live refits forecast, full order; values where the model is well determined, of which the batch knows."""
+    ahead = _live_refits(spark, folder, 5).forecasts(spark).drop("batch_id")
+    known = refit_models(spark, folder).select("refit_arrival", "key", "status")
+    value = F.when(F.col("status") == "ok", F.col("forecast"))
+    return ahead.join(known, ["refit_arrival", "key"]).withColumn("forecast", value).select(
+        "refit_arrival", "refit_ts", "key", "step", "ts", "forecast", "status"
+    )
 
 
 QUERIES["stream_refit_order5"] = stream_refit_order5
-QUERIES["stream_refit"] = stream_refit
-ORACLES["stream_refit"] = ORACLES["refit_forecasts"]
+_STEPS_SQL = f"steps AS (SELECT unnest(generate_series(1, {ar.LIVE_HORIZON})) AS step)"
+ORACLES["stream_refit_order5"] = f"""WITH {SNAPSHOT_SQL}, {_FULL_SQL}, {ar_forecast_sql(_BY, 5, ar.LIVE_HORIZON)},
+models AS (SELECT {_BY}, last_ts, {_STATUS} AS status FROM phi), {_STEPS_SQL}
+SELECT refit_arrival, refit_ts, key, CAST(s.step AS INTEGER) AS step, m.last_ts + to_minutes(CAST(s.step AS INTEGER)) AS ts,
+    CASE WHEN status = 'ok' THEN round(a.forecast, 4) + 0.0 END AS forecast, status
+FROM models m CROSS JOIN steps s LEFT JOIN ahead a USING (refit_arrival, refit_ts, key, step) WHERE status <> 'insufficient'"""
+
+
+def latest_publication(spark: SparkSession, folder: str) -> DataFrame:
+    """The points of each key's newest publication, from the messages of live refits written and read as text."""
+    path = scratch_path(spark, "published")
+    write_messages(_live_refits(spark, folder, 1, publish="newest").messages(spark), path)
+    decoded = decode_json(spark.read.text(path), schemas.MESSAGE)
+    return outlook.points_of(outlook.latest_publication(decoded)).drop("part", "parts")
+
+
+QUERIES["latest_publication"] = latest_publication
+ORACLES["latest_publication"] = f"""{_one_lag_relations()},
+published AS (SELECT DISTINCT refit_arrival, key FROM equations WHERE n > 0),
+newest AS (SELECT key, max(refit_arrival) AS refit_arrival FROM published GROUP BY key)
+SELECT refit_arrival AS publication, key AS candidate_id, 'history' AS kind,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS time, CAST(total AS DOUBLE) AS votes FROM snapshots JOIN newest USING (refit_arrival, key)
+UNION ALL SELECT refit_arrival, key, 'forecast', strftime(ts, '%Y-%m-%d %H:%M:%S'), round(forecast, 4) + 0.0
+FROM ahead JOIN newest USING (refit_arrival, key)"""

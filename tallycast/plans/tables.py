@@ -83,7 +83,7 @@ def references(spark: SparkSession, folder: str) -> DataFrame:
     return reference_embeddings(known, "entity")
 
 
-def live_events(events: DataFrame, source: DataFrame) -> DataFrame:
+def live_events(events: DataFrame, source: DataFrame, small: bool | None = None) -> DataFrame:
     """Events with their live embedding: clicks and views show the entity itself, purchases and
     sign-ups the face numbered in the event's properties, and in error events no face is found."""
     own = F.col("key").isin("click", "view")
@@ -92,7 +92,7 @@ def live_events(events: DataFrame, source: DataFrame) -> DataFrame:
     vectors = reference_embeddings(source, "vec_id").withColumnsRenamed(
         {"entity": "face", "reference": "live", "reference_norm": "live_norm"}
     )
-    return join_dimension(events.withColumn("face", shown), vectors, "face")
+    return join_dimension(events.withColumn("face", shown), vectors, "face", small=small)
 
 
 FACES_SQL = """faces AS (SELECT event_id AS arrival, user_id AS entity, event_type AS key, CASE

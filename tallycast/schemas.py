@@ -17,23 +17,11 @@ LIVE_EVENT = T.StructType([
     T.StructField("Voter_image", T.StringType()),
 ])
 
-# Entity dimension. Fixed column names of the file, all text.
-ENTITY = T.StructType([T.StructField(name, T.StringType()) for name in (
-    "Voter_id", "Gender", "Title", "First Name", "Last Name", "Street Number", "Street Name", "City",
-    "State", "Country", "Postcode", "Email", "DOB", "Phone", "Cell", "SSN", "Picture",
-)])
-
 # Key dimension. Fixed column names of the file, all text.
 KEY_DIMENSION = T.StructType([T.StructField(name, T.StringType()) for name in (
     "Candidate_id", "Gender", "Title", "First Name", "Last Name", "party_affiliation", "Picture",
 )])
 
-SLOT_PREDICTION = T.StructType([
-    T.StructField("hour", T.IntegerType()),
-    T.StructField("minute", T.IntegerType()),
-    T.StructField("scaled_votes", T.DoubleType()),
-])
-
 MINUTE_SERIES = T.StructType([
     T.StructField("vote_time", T.TimestampNTZType()),
     T.StructField("cumulative_votes", T.DoubleType()),
@@ -45,10 +33,13 @@ FORECAST = T.StructType([
     T.StructField("forecast", T.DoubleType()),
 ])
 
-# Published message. Fixed field names of the wire format, plus the part number that
-# keeps one message bounded when a history is long.
+# Published message. Fixed field names of the wire format, plus the publication it belongs to and the
+# part number that keeps one message bounded when a history is long.
 MESSAGE = T.StructType([
     T.StructField("candidate_id", T.StringType()),
+    T.StructField("publication", T.LongType()),
+    T.StructField("part", T.IntegerType()),
+    T.StructField("parts", T.IntegerType()),
     T.StructField("forecast", T.ArrayType(T.StructType([
         T.StructField("time", T.StringType()),
         T.StructField("votes", T.DoubleType()),

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,12 +42,35 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local($|\[)", context.master):  # not local-cluster
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tallycast-"))
     return context.getCheckpointDir()
 
 
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes on exit what ``materialize`` wrote within; use it where the results have been written elsewhere by then."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark can write."""
+    java = spark.sparkContext._jvm
+    place = java.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing path below the shared folder."""
     return f"{shared_folder(spark)}/tallycast-{label}-{uuid.uuid4().hex}"
@@ -57,5 +84,8 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

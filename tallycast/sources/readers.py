@@ -17,18 +17,23 @@ def read_table_csv(spark: SparkSession, paths: str | list[str], schema: StructTy
     return spark.read.schema(schema).csv(paths, header=True)
 
 
-def key_from_path(pattern: str) -> Column:
+KEY_FOLDER = r"/key=([^/]+)/"
+
+
+def key_from_path(pattern: str = KEY_FOLDER) -> Column:
     """The key held in the file's path: first group of ``pattern``.
 
-    A path is a URI whose folder names may be escaped once more, so both escapes are undone.
+    A path is a URI, so its escapes are undone. Only names that Spark gave to ``key=`` folders are
+    escaped once more; in any other name a percent sign is just that.
     """
+    decoded = lambda x: F.try_url_decode(F.regexp_replace(x, r"\+", "%2B"))
     path = F.col("_metadata.file_path")
-    text = F.regexp_extract(F.url_decode(F.regexp_replace(path, r"\+", "%2B")), pattern, 1)
-    return F.url_decode(F.regexp_replace(text, r"\+", "%2B"))
+    text = F.regexp_extract(F.coalesce(decoded(path), path), pattern, 1)
+    return F.coalesce(decoded(text), text) if "key=" in pattern else text
 
 
 def read_per_key_csv(
-    spark: SparkSession, paths: str | list[str], schema: StructType, pattern: str = r"/key=([^/]+)/", key: str = "key"
+    spark: SparkSession, paths: str | list[str], schema: StructType, pattern: str = KEY_FOLDER, key: str = "key"
 ) -> DataFrame:
     """Files of all keys in one scan, the key taken from each file's path."""
     return read_table_csv(spark, paths, schema).withColumn(key, key_from_path(pattern))

@@ -1,7 +1,10 @@
 """Sinks and the model registry."""
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_per_key_csv(df: DataFrame, folder: str, key: str = "key") -> None:
@@ -34,13 +37,18 @@ def write_messages(messages: DataFrame, target: str, format: str = "text", **opt
 
 
 def save_models(models: DataFrame, folder: str, run: str) -> None:
-    """Store the models of all keys of one run, replacing that run only."""
+    """Store the models of all keys of one run and their schema, replacing that run only."""
     models.write.mode("overwrite").parquet(f"{folder}/run={run}")
+    schema = models.sparkSession.createDataFrame([(models.schema.json(),)], "value string")
+    schema.coalesce(1).write.mode("overwrite").text(f"{folder}/_schema/run={run}")
 
 
-def load_models(spark: SparkSession, folder: str, models_like: DataFrame, run: str | None = None) -> DataFrame:
-    """Models of one run, or of all runs with their ``run`` column."""
+def load_models(spark: SparkSession, folder: str, run: str | None = None) -> DataFrame:
+    """Models of one run, or of all runs (of one kind of model) with their ``run`` column; the schema is the stored one."""
+    stored = spark.read.text(f"{folder}/_schema" + (f"/run={run}" if run is not None else "")).select("value").distinct()
+    kinds = [T.StructType.fromJson(json.loads(row.value)) for row in stored.limit(2).collect()]
+    if len(kinds) != 1:
+        raise ValueError(f"{len(kinds) or 'no'} kinds of models in {folder}: name a run")
     if run is not None:
-        return spark.read.schema(models_like.schema).parquet(f"{folder}/run={run}")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in models_like.schema.fields)
-    return spark.read.schema(f"{fields}, run string").parquet(folder)
+        return spark.read.schema(kinds[0]).parquet(f"{folder}/run={run}")
+    return spark.read.schema(T.StructType([*kinds[0].fields, T.StructField("run", T.StringType())])).parquet(folder)

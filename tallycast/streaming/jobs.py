@@ -11,23 +11,15 @@ def running_totals(events: DataFrame, key: str = "key") -> DataFrame:
     return events.groupBy(key).agg(F.count("*").alias("running_total"))
 
 
-def hourly_counts(
-    events: DataFrame, key: str = "key", ts: str = "ts", lateness: str = "10 minutes"
-) -> DataFrame:
-    """Tumbling one-hour counts per key.
+def hourly_counts(events: DataFrame, key: str = "key", ts: str = "ts") -> DataFrame:
+    """Tumbling one-hour counts per key, for update mode; every event counts, however late.
 
-    A watermark needs a zoned time, so the zone-less event time is read as an instant in UTC and
-    turned back for the output, whatever the session zone. The watermark only bounds the state.
+    There is no watermark, which would discard late events: the state is one row per key and hour that holds
+    events, as many as the answer has. Zone-less times are cut to the hour as they are, whatever the session zone.
     """
-    instant = F.timestamp_seconds(epoch_minute(F.col(ts)) * 60)
-    hours = (
-        events.withColumn("_instant", instant)
-        .withWatermark("_instant", lateness)
-        .groupBy(key, F.window("_instant", "1 hour"))
-        .agg(F.count("*").alias("n"))
-    )
-    start = minute_start((F.unix_seconds("window.start") / 60).cast("bigint"))
-    return hours.select(key, start.alias("hour_start"), "n")
+    hour = F.floor(epoch_minute(F.col(ts)) / 60).cast("bigint")
+    hours = events.groupBy(key, hour.alias("_hour")).agg(F.count("*").alias("n"))
+    return hours.select(key, minute_start(F.col("_hour") * 60).alias("hour_start"), "n")
 
 
 def latest_per_key(messages: DataFrame, key: str = "key", offset: str = "offset") -> DataFrame:

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallycast.operators import autoregression as ar
-from tallycast.operators.refit import history_parts, refit_models
+from tallycast.operators.outlook import publish_messages
+from tallycast.operators.refit import history_parts, refit_histories, refit_models
 from tallycast.operators.triggers import candidate_changes, trigger_points
-from tallycast.session import materialize
+from tallycast.session import materialize, scratch_scope
 from tallycast.streaming.sinks import read_batches
 
 MARK = "arrival bigint, ts timestamp_ntz"
@@ -15,21 +16,26 @@ TOTALS = "key string, so_far bigint"
 PUBLISHED = (
     "refit_arrival bigint, refit_ts timestamp_ntz, key string, step int, ts timestamp_ntz, forecast double"
 )
+MESSAGES = "key string, publication bigint, part int, parts int, value string"
 
 
 class LiveRefit:
-    """Keeps four tables below ``folder``, one sub-folder per micro-batch each:
+    """Keeps five tables below ``folder``, one sub-folder per micro-batch each:
 
     ``mark`` (the newest candidate so far), ``totals`` (count per key so far), ``parts`` (the
-    history by key and minute) and ``forecasts`` (what each refit published). A batch reads the
+    history by key and minute), ``forecasts`` (every refit's steps) and ``messages`` (what each refit
+    publishes: per key its history as of the trigger and the steps, in parts; the publication is numbered by the
+    trigger's arrival). ``publish`` is "all" refits, the "newest" of each micro-batch, or "none". A batch reads the
     mark and totals of the batch before it, and the history only when a refit fires, so an ordinary
     batch costs the same however long the stream has run; its events are never read again. It
     replaces its own sub-folders, so a replay after a failure repeats nothing. Later batches
     must carry larger arrival numbers, as offsets do.
     """
 
-    def __init__(self, folder: str, lags: int = ar.LAGS, horizon: int = ar.LIVE_HORIZON):
-        self.folder, self.lags, self.horizon = folder, lags, horizon
+    def __init__(
+        self, folder: str, lags: int = ar.LAGS, horizon: int = ar.LIVE_HORIZON, publish: str = "all", digits: int | None = None
+    ):
+        self.folder, self.lags, self.horizon, self.publish, self.digits = folder, lags, horizon, publish, digits
 
     def _replace(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.folder}/{name}/batch_id={batch_id}")
@@ -40,6 +46,11 @@ class LiveRefit:
         return spark.read.schema(schema).parquet(f"{self.folder}/{name}/batch_id={batch_id - 1}")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
+        """One micro-batch; its scratch tables are removed at the end, also after a failure."""
+        with scratch_scope(batch.sparkSession):
+            self._process(batch, batch_id)
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         events = materialize(batch.select("key", "ts", "arrival"), "batch")
 
@@ -61,10 +72,23 @@ class LiveRefit:
 
         if triggers.isEmpty():
             self._replace(spark.createDataFrame([], PUBLISHED), "forecasts", batch_id)
+            self._replace(spark.createDataFrame([], MESSAGES), "messages", batch_id)
             return
         history = read_batches(spark, f"{self.folder}/parts", parts.schema).filter(F.col("batch_id") <= batch_id)
-        models = refit_models(history.drop("batch_id"), triggers, self.lags)
-        self._replace(ar.forecast(models, self.horizon, ["refit_arrival", "refit_ts", "key"]), "forecasts", batch_id)
+        history = materialize(history.drop("batch_id"), "history")
+        ahead = ar.forecast(refit_models(history, triggers, self.lags), self.horizon, ["refit_arrival", "refit_ts", "key"])
+        if self.digits is not None:
+            ahead = ahead.withColumn("forecast", F.round("forecast", self.digits) + F.lit(0.0))
+        self._replace(ahead, "forecasts", batch_id)
+        messages = spark.createDataFrame([], MESSAGES)
+        if self.publish != "none":
+            shown = triggers if self.publish == "all" else triggers.orderBy(F.col("arrival").desc()).limit(1)
+            shown = materialize(shown, "shown")
+            seen = refit_histories(history, shown).withColumnRenamed("refit_arrival", "publication")
+            steps = spark.read.schema(PUBLISHED).parquet(f"{self.folder}/forecasts/batch_id={batch_id}")
+            steps = steps.join(shown.select(F.col("arrival").alias("refit_arrival")), "refit_arrival", "left_semi")
+            messages = publish_messages(seen, steps.withColumnRenamed("refit_arrival", "publication"))
+        self._replace(messages, "messages", batch_id)
 
     def start(self, events: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
         writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.process)
@@ -72,3 +96,6 @@ class LiveRefit:
 
     def forecasts(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(f"{PUBLISHED}, batch_id bigint").parquet(f"{self.folder}/forecasts")
+
+    def messages(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(f"{MESSAGES}, batch_id bigint").parquet(f"{self.folder}/messages")

@@ -2,6 +2,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallycast.operators import autoregression as ar
 
@@ -56,3 +57,11 @@ def test_degenerate_series_do_not_stop_the_job(spark):
 def test_empty(spark):
     empty = series_of(spark, {"a": [1]}).limit(0)
     assert ar.forecast(ar.fit(empty)).count() == 0
+
+
+def test_a_broken_series_fails_alone(spark):
+    rows = [("good", i, float(i * i % 7)) for i in range(30)] + [("bad", i, float("nan") if i == 9 else float(i)) for i in range(30)]
+    df = spark.createDataFrame(rows, "key string, minute int, total double")
+    df = df.withColumn("ts", F.timestamp_seconds(F.col("minute") * 60).cast("timestamp_ntz"))
+    models = {r.key: r for r in ar.fit(df, lags=2).collect()}
+    assert models["bad"].status == "failed" and models["bad"].phi is None and models["good"].status == "ok"

@@ -34,7 +34,8 @@ def test_messages_hold_everything_in_bounded_parts(spark):
     whole = outlook.publish_messages(past, ahead).collect()
     assert [(r.key, r.part, r.parts) for r in whole] == [("a", 0, 1)]  # no forecast, no message
     body = json.loads(whole[0].value)
-    assert set(body) == {"candidate_id", "forecast", "historical_data"} and body["candidate_id"] == "a"
+    assert set(body) == {"candidate_id", "publication", "part", "parts", "forecast", "historical_data"}
+    assert (body["candidate_id"], body["publication"], body["part"], body["parts"]) == ("a", 0, 0, 1)
     assert body["historical_data"][0] == {"vote_time": "2024-01-01 08:00:00", "cumulative_votes": 0.0}
     assert [p["votes"] for p in body["forecast"]] == [1.0, 2.0, 3.0] and body["forecast"][0]["time"] == "2024-01-01 09:01:00"
     split = sorted(outlook.publish_messages(past, ahead, points=10).collect(), key=lambda r: r.part)

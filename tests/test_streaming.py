@@ -1,10 +1,12 @@
+import os
 import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from tallycast.operators import lookup, refit, series, triggers
-from tallycast.sources.readers import stream_files
+from tallycast import schemas, session
+from tallycast.operators import lookup, outlook, refit, series, triggers
+from tallycast.sources.readers import decode_json, stream_files
 from tallycast.streaming import jobs
 from tallycast.streaming.refit import LiveRefit
 from tallycast.streaming.sinks import latest_rows, read_batches, save_batches
@@ -92,3 +94,53 @@ def test_live_refits_equal_the_batch_refits(spark, feed, make_events, tmp_path,
     totals = series.running_totals(events).count()
     kept = read_batches(spark, str(tmp_path / "live" / "parts"), spark.createDataFrame([], "key string, n bigint").schema)
     assert kept.agg(F.sum("n")).first()[0] == totals
+
+
+def test_late_events_count_in_their_hour(spark, feed, make_events, tmp_path):
+    rows = [("a", "2024-01-01 08:10:00"), ("a", "2024-01-01 12:40:00"), ("a", "2024-01-01 09:15:00"), ("a", "2024-01-01 08:20:00")]
+    files_of(feed, make_events(rows), 4, 1)
+    stream = jobs.hourly_counts(feed.stream())
+    out = str(tmp_path / "out")
+    save_batches(stream, out, str(tmp_path / "cp"), "update").awaitTermination()
+    got = latest_rows(read_batches(spark, out, stream.schema), ["key", "hour_start"])
+    assert {(r.hour_start.hour, r.n) for r in got.collect()} == {(8, 2), (9, 1), (12, 1)}
+
+
+def test_every_refit_publishes_what_it_saw(spark, feed, make_events, tmp_path):
+    rows = [(k, ts) for k, ts in shuffled_events(2000, n=900, seed=6) if k]
+    events = make_events(rows)
+    files_of(feed, events, 3, len(rows) // 3 + 1)
+    live = LiveRefit(str(tmp_path / "live"))
+    live.start(feed.stream(), str(tmp_path / "cp")).awaitTermination()
+    decoded = decode_json(live.messages(spark).select("value"), schemas.MESSAGE)
+    points = outlook.points_of(decoded).collect()
+    steps = {(r.publication, r.candidate_id, r.time): r.votes for r in points if r.kind == "forecast"}
+    ahead = live.forecasts(spark).collect()
+    assert steps == {(r.refit_arrival, r.key, str(r.ts)): r.forecast for r in ahead} and steps
+    shown = {(r.publication, r.candidate_id) for r in points}
+    for trigger in triggers.trigger_points(events).collect():
+        seen = series.minute_series(events.filter(F.col("arrival") <= trigger.arrival)).collect()
+        want = {(r.key, str(r.ts), float(r.total)) for r in seen if (trigger.arrival, r.key) in shown}
+        got = {(r.candidate_id, r.time, r.votes) for r in points if r.publication == trigger.arrival and r.kind == "history"}
+        assert got == want
+    newest = outlook.points_of(outlook.latest_publication(decoded))
+    per_key = {r.candidate_id: r.n for r in newest.groupBy("candidate_id").agg(F.countDistinct("publication").alias("n")).collect()}
+    assert set(per_key.values()) == {1}
+
+
+def test_live_refits_survive_a_replay_and_leave_no_scratch(spark, feed, make_events, tmp_path):
+    rows = [(k, ts) for k, ts in shuffled_events(0, n=600, seed=7) if k]
+    files_of(feed, make_events(rows), 4, len(rows) // 4 + 1)
+    shared = session.shared_folder(spark)
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    live = LiveRefit(str(tmp_path / "live"))
+    live.start(feed.stream(), str(tmp_path / "cp")).awaitTermination()
+    first = sorted(map(str, live.messages(spark).collect())), sorted(map(str, live.forecasts(spark).collect()))
+    commits = sorted((tmp_path / "cp" / "commits").glob("[0-9]*"))
+    for lost in (commits[-1], commits[-1].with_name(f".{commits[-1].name}.crc")):
+        lost.replace(tmp_path / f"lost{lost.name}")
+    live.start(feed.stream(), str(tmp_path / "cp")).awaitTermination()
+    again = sorted(map(str, live.messages(spark).collect())), sorted(map(str, live.forecasts(spark).collect()))
+    assert first == again
+    assert set(os.listdir(shared)) - before == set()
+    assert sorted(os.listdir(tmp_path / "live")) == ["forecasts", "mark", "messages", "parts", "totals"]
