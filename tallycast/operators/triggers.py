@@ -30,10 +30,8 @@ def candidate_changes(
     """
     hour = F.hour(ts)
     marks = events.filter((F.minute(ts) == 0) & (hour != opening_hour)).select(arrival, ts, hour.alias("_hour"))
-    for bits in (BLOCK_BITS, 2 * BLOCK_BITS):
-        block = F.shiftright(F.col(arrival), bits)
-        marks = _hour_changes(marks, W.partitionBy(block).orderBy(arrival))
-    return marks.select(arrival, ts)
+    block = F.shiftright(F.col(arrival), BLOCK_BITS)
+    return _hour_changes(marks, W.partitionBy(block).orderBy(arrival)).select(arrival, ts)
 
 
 def trigger_points(
@@ -41,10 +39,22 @@ def trigger_points(
 ) -> DataFrame:
     """Events that fire a refit, as ``(arrival, ts)``: candidates whose predecessor had another hour of day.
 
-    One task orders the changes of hour only.
+    Each block of arrivals is settled by itself, but for its first candidate, which is compared with the last
+    hour of the block before; so one task orders a row per block, however many candidates there are.
     """
-    marks = candidate_changes(events, ts, arrival, opening_hour).withColumn("_hour", F.hour(ts))
-    return _hour_changes(marks, W.orderBy(arrival)).select(arrival, ts)
+    marks = candidate_changes(events, ts, arrival, opening_hour).withColumns(
+        {"_hour": F.hour(ts), "_block": F.shiftright(F.col(arrival), BLOCK_BITS)}
+    )
+    blocks = marks.groupBy("_block").agg(F.min(arrival).alias("_first"), F.max_by("_hour", arrival).alias("_last"))
+    carried = blocks.select("_block", "_first", F.lag("_last").over(W.orderBy("_block")).alias("_carried"))
+    inside = F.lag("_hour").over(W.partitionBy("_block").orderBy(arrival))
+    previous = F.coalesce(inside, F.col("_carried"))
+    return (
+        marks.join(carried, "_block")
+        .withColumn("_previous", previous)
+        .filter(F.col("_previous").isNull() | (F.col("_previous") != F.col("_hour")))
+        .select(arrival, ts)
+    )
 
 
 def place(rows: DataFrame, triggers: DataFrame, arrival: str = "arrival", listed: int = LISTED_TRIGGERS) -> DataFrame:
