@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast import schemas
+from tallycast.functions.times import TIME_FORMAT
 from tallycast.operators import autoregression as ar
 from tallycast.operators import cleaning, lookup, outlook, refit, triggers
 from tallycast.plans import tables
@@ -248,6 +249,35 @@ SELECT refit_arrival, refit_ts, key, CAST(s.step AS INTEGER) AS step, m.last_ts
 FROM models m CROSS JOIN steps s LEFT JOIN ahead a USING (refit_arrival, refit_ts, key, step) WHERE status <> 'insufficient'"""
 
 
+def stream_live_path(spark: SparkSession, folder: str) -> DataFrame:
+    """From JSON messages of three broker partitions to the forecasts of live refits, order 1."""
+    wire = tables.events(spark, folder).select(
+        "arrival",
+        F.timestamp_seconds(F.col("arrival")).alias("timestamp"),
+        (F.col("arrival") % 3).alias("partition"),
+        F.floor(F.col("arrival") / 3).alias("offset"),
+        F.to_json(F.struct(
+            F.col("entity").cast("string").alias("Voter_id"),
+            F.col("key").alias("Candidate_id"),
+            F.date_format("ts", TIME_FORMAT).alias("Vote_Time"),
+        )).alias("value"),
+    )
+    path = fed(spark, wire, "arrival", "wire")
+    messages = stream_files(spark, path, wire.schema, "parquet", maxFilesPerTrigger="1").drop("arrival")
+    place = scratch_path(spark, "live-path")
+    live = LiveRefit(f"{place}/tables", lags=1, publish="none", digits=4)
+    live.start_messages(messages, f"{place}/checkpoint").awaitTermination()
+    return live.forecasts(spark).drop("batch_id", "refit_arrival")
+
+
+QUERIES["stream_live_path"] = stream_live_path
+# Times on the wire are whole seconds.
+_WIRE_SQL = "ev AS (SELECT event_id AS arrival, user_id AS entity, event_type AS key, date_trunc('second', ts) AS ts FROM events)"
+ORACLES["stream_live_path"] = f"""{_one_lag_relations().replace(EVENTS_SQL, _WIRE_SQL)}
+SELECT refit_ts, key, step, ts, round(forecast, 4) + 0.0 AS forecast FROM ahead
+WHERE (refit_arrival, key) IN (SELECT (refit_arrival, key) FROM equations WHERE n > 0)"""
+
+
 def latest_publication(spark: SparkSession, folder: str) -> DataFrame:
     """The points of each key's newest publication, from the messages of live refits written and read as text."""
     path = scratch_path(spark, "published")

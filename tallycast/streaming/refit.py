@@ -1,14 +1,19 @@
 """Live refits: totals, triggers and forecasts from micro-batches of events."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallycast.operators import autoregression as ar
+from tallycast.operators.cleaning import clean_events, rejected_events
 from tallycast.operators.outlook import publish_messages
 from tallycast.operators.refit import history_parts, refit_histories, refit_models
 from tallycast.operators.triggers import candidate_changes, trigger_points
 from tallycast.session import materialize, scratch_scope
+from tallycast.sources.readers import live_events
+from tallycast.streaming.arrivals import BROKER_ORDER, numbered_arrivals
 from tallycast.streaming.sinks import read_batches
 
 MARK = "arrival bigint, ts timestamp_ntz"
@@ -90,6 +95,26 @@ class LiveRefit:
             messages = publish_messages(seen, steps.withColumnRenamed("refit_arrival", "publication"))
         self._replace(messages, "messages", batch_id)
 
+    def process_messages(self, batch: DataFrame, batch_id: int, order: Sequence[str] = BROKER_ORDER) -> None:
+        """One micro-batch of JSON messages, with the columns ``order`` that rank them.
+
+        Messages whose time doesn't parse go to the table ``rejected`` with their text; the others get arrival numbers
+        and are processed as events.
+        """
+        with scratch_scope(batch.sparkSession):
+            raw = materialize(live_events(batch.withColumn("_text", F.col("value").cast("string"))), "messages")
+            self._replace(rejected_events(raw).select(*order, F.col("_text").alias("value")), "rejected", batch_id)
+            events = numbered_arrivals(clean_events(raw).select("key", "ts", *order), batch_id, order)
+            self._process(events.select("key", "ts", "arrival"), batch_id)
+
+    def start_messages(
+        self, messages: DataFrame, checkpoint: str, order: Sequence[str] = BROKER_ORDER, available_now: bool = True
+    ) -> StreamingQuery:
+        """From messages to published messages."""
+        process = lambda batch, batch_id: self.process_messages(batch, batch_id, order)
+        writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
+
     def start(self, events: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
         writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.process)
         return (writer.trigger(availableNow=True) if available_now else writer).start()

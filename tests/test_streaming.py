@@ -1,3 +1,4 @@
+import json
 import os
 import shutil
 
@@ -144,3 +145,29 @@ def test_live_refits_survive_a_replay_and_leave_no_scratch(spark, feed, make_eve
     assert first == again
     assert set(os.listdir(shared)) - before == set()
     assert sorted(os.listdir(tmp_path / "live")) == ["forecasts", "mark", "messages", "parts", "totals"]
+
+
+def test_messages_become_refits_and_broken_ones_are_kept(spark, make_events, tmp_path):
+    rows = [(k, ts) for k, ts in shuffled_events(2000, n=900, seed=6) if k]
+    body = lambda k, ts: json.dumps({"Voter_id": "v", "Candidate_id": k, "Vote_Time": ts})
+    # Two broker partitions with their own offsets; broker times order the batch, offsets break ties.
+    wire = [(body(k, ts), i % 2, i // 2, i // 4) for i, (k, ts) in enumerate(rows)]
+    wire += [("broken", 0, 10**6, 30), (body("a", "not a time"), 1, 10**6, 200)]
+    schema = "value string, partition int, offset bigint, timestamp bigint"
+    folder = tmp_path / "wire"
+    for n, (low, high) in enumerate([(0, 110), (110, 10**9)]):
+        share = [w for w in wire if low <= w[3] < high]
+        spark.createDataFrame(share, schema).coalesce(1).write.mode("append").parquet(str(folder))
+    stream = stream_files(spark, str(folder), spark.createDataFrame([], schema).schema, "parquet", maxFilesPerTrigger="1")
+    live = LiveRefit(str(tmp_path / "live"))
+    live.start_messages(stream, str(tmp_path / "cp")).awaitTermination()
+
+    order = sorted(range(len(rows)), key=lambda i: (i // 4, i % 2, i // 2))
+    events = make_events([rows[i] for i in order])
+    want = refit.refit_forecasts(events, triggers.trigger_points(events)).collect()
+    got = live.forecasts(spark).collect()
+    plain = lambda found: sorted((r.refit_ts, r.key, r.step, r.ts, round(r.forecast, 6)) for r in found)
+    assert plain(got) == plain(want) and got
+    rejected = read_batches(spark, str(tmp_path / "live" / "rejected"), spark.createDataFrame([], schema).schema).collect()
+    assert sorted(r.value for r in rejected) == sorted(w[0] for w in wire[-2:])
+    assert live.messages(spark).count() > 0
