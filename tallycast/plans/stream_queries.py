@@ -23,7 +23,7 @@ QUERIES = {}
 ORACLES = {}
 
 
-BATCHES = 4  # micro-batches that a query's feed arrives in
+BATCHES = 3  # micro-batches that a query's feed arrives in
 
 
 def fed(spark: SparkSession, rows: DataFrame, order: str, label: str) -> str:
