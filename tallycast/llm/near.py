@@ -38,6 +38,7 @@ BANDS = 26
 BAND_ROWS = 5
 REGISTERS = BANDS * BAND_ROWS
 DOUBT = 4.0  # standard deviations of a sketch's estimate
+OFTEN = 1000
 BLOCK = 512  # texts of a bucket that are compared with each other in one task
 SKETCH_BYTES = 1 << 20
 
@@ -302,12 +303,23 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
         F.sum("copies").alias("class_size"), F.min(F.struct(F.col("least.*"), F.col("node").alias("node"))).alias("kept")
     )
     named = nodes.join(classes, "component").select(
-        "node", F.col("kept.key").alias("class_id"), "class_size", F.col("kept.node").alias("kept_node")
+        "node", "copies", F.struct(F.col("kept.key").alias("class_id"), "class_size", F.col("kept.node").alias("node")).alias("found")
     )
-    return rows.drop("text").join(named, "node").select(
-        F.col("key").alias(key),
-        "class_id",
-        "class_size",
-        (F.col("key").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("kept_node"))).alias("kept"),
-        "node",
+    named = materialize(named, "near-named")
+    total = named.agg(F.sum("copies")).first()[0] or 0
+    # Fewer than OFTEN texts make up more than 1 / OFTEN of the rows each: they are broadcast, and their rows dealt out evenly.
+    often = named.filter(F.col("copies") * OFTEN > total).select("node", F.col("found").alias("often"))
+    placed = rows.drop("text").join(F.broadcast(often), "node", "left")
+    placed = placed.withColumn("asked", F.when(F.col("often").isNull(), F.col("node")).otherwise(F.unhex(F.sha1(F.col("key").cast("string")))))
+    rest = named.select(F.col("node").alias("asked"), "found")
+    return (
+        placed.join(rest, "asked", "left")
+        .withColumn("found", F.coalesce("often", "found"))
+        .select(
+            F.col("key").alias(key),
+            "found.class_id",
+            "found.class_size",
+            (F.col("key").eqNullSafe(F.col("found.class_id")) & (F.col("node") == F.col("found.node"))).alias("kept"),
+            "node",
+        )
     )
