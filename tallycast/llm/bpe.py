@@ -36,7 +36,7 @@ VOCABULARY = "word_bpe_49k.json"
 # The word pattern of the vocabulary file, and the white space it drops.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 SPACE_PATTERN = r"[\t-\r \x85\xa0  -     　]+"
-CACHED_CHUNKS = 1 << 20
+CACHED_CHUNKS = 1 << 19
 LONG = 200  # bytes
 LAST = 0x100000  # added to the code of a word's last character, which carries the end of the word
 CHUNK = byte_class([b for b in range(256) if b not in b" \t\n\x0b\x0c\r"], lower=False)
@@ -325,7 +325,7 @@ def encode_decode(docs: DataFrame, path: str | None = None, key: str = "doc_id",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", 1 << 20):
             ids, offsets = coder.encode(*column_bytes(batch.column("text")))
             rows = [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(

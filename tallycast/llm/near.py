@@ -40,7 +40,7 @@ REGISTERS = BANDS * BAND_ROWS
 DOUBT = 4.0  # standard deviations of a sketch's estimate
 OFTEN = 1000
 BLOCK = 512  # texts of a bucket that are compared with each other in one task
-SKETCH_BYTES = 1 << 20
+SKETCH_BYTES = 1 << 18
 
 
 def weighted(column: pa.Array, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,7 +147,7 @@ def near_pairs(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFram
     """The pairs (u, v) whose whole texts are at least ``threshold`` similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "small_u", 1 << 19):
+        for batch in pieces(batches, "small_u", 1 << 18):
             node, at = np.unique(np.array(batch.column("v").to_pylist(), object), return_inverse=True)
             _, some = np.unique(at, return_index=True)
             us, vs = (weighted(expanded(x)) for x in (batch.column("small_u"), batch.column("small_v").take(pa.array(some))))

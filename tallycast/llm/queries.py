@@ -14,10 +14,12 @@ from tallycast.llm.near import near_classes
 from tallycast.llm.packing import pack
 from tallycast.llm.repeats import repeat_digests
 from tallycast.llm.scoring import scores
+from tallycast.llm.text import bound_arrow_batches
 from tallycast.llm.toxicity import classify
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    bound_arrow_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

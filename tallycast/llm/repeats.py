@@ -36,7 +36,7 @@ from tallycast.session import materialize
 LENGTH = 100
 ANCHOR = 32
 CROWD = 4096
-INDEX_BYTES = 1 << 20
+INDEX_BYTES = 1 << 18
 SPAN, STRETCH, CROWDED = 0, 1, 2
 
 # What the steps hand on: a found span (kind SPAN), a stretch to look into, or one of a crowded anchor. ``place`` is the
@@ -241,7 +241,7 @@ def fetched(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
-        for batch in pieces(batches, "text", 1 << 20):
+        for batch in pieces(batches, "text", 1 << 18):
             texts = [expand.decompress(x) for x in batch.column("text").to_pylist()]
             sizes = np.array([len(x) for x in texts], np.int64)
             data = np.frombuffer(b"".join(texts), np.uint8)
@@ -369,7 +369,7 @@ def _mapped(found: DataFrame, names: list[str], schema: T.StructType, make: Call
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
-        for batch in pieces(batches, "text", 1 << 20):
+        for batch in pieces(batches, "text", 1 << 18):
             lists = batch.column("spans")
             flat = lists.flatten()
             place, count = flat.field(0).to_numpy(), flat.field(1).to_numpy()

@@ -10,7 +10,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
+#: Rows that Spark hands to a Python worker at once; texts are long, and the default of 10 000 rows is tens of MB on either side.
+ARROW_ROWS = 2000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 SHINGLE_BASE = np.uint64(0xD6E8FEB86659FD93)
 WORD_BASE = 0x2545F4914F6CDD1D
@@ -64,6 +67,11 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
 
+def bound_arrow_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to ARROW_ROWS rows; the registered queries and stages do so, the operators leave it alone."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string or binary column and the offsets of its rows."""
     if isinstance(column, pa.ChunkedArray):
@@ -75,7 +83,7 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, ends - ends[0]
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about ``limit`` bytes of text; a longer text stands alone."""
     for batch in batches:
         if not batch.num_rows:
