@@ -57,7 +57,7 @@ def test_odd_rows(spark):
     rows = fingerprint.edited_likeness(docs).collect()
     assert len(rows) == docs.count()
     by = {r.doc_id: r for r in rows}
-    assert by[None].edited_sha256 == sha("no id here at all my friend"[:20])  # the next text, of id 1, is null: nothing to take
+    assert by[None].edited_sha256 == sha("no id here at all my friend"[:21])  # the next text, of id 1, is null: nothing to take
     assert by[1].near_next == 1  # null and empty
     assert all(0 <= r.near_edited <= 1 for r in rows)
     assert fingerprint.edited_likeness(empty_documents(spark)).count() == 0
