@@ -180,10 +180,10 @@ def similarities(sets: tuple[np.ndarray, np.ndarray, np.ndarray], one: int, othe
 
 
 def links_apart(members: DataFrame, threshold: float) -> DataFrame:
-    """Links between a bucket's texts in different components; ``members`` has columns bucket, band, node, component, is_hub, low, small.
+    """Links between a bucket's texts in different components; ``members`` has columns bucket, band, node, component, is_hub, low, buckets, small.
 
     A bucket is cut into blocks of about BLOCK texts and every two blocks meet in one task, so no task holds more than two. Two texts
-    are compared in the first band they share.
+    are compared in the first bucket they share.
     """
     chance = 1 / 256
     doubt = DOUBT * np.sqrt(threshold * (1 - threshold) / REGISTERS)
@@ -193,12 +193,13 @@ def links_apart(members: DataFrame, threshold: float) -> DataFrame:
         members.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node", F.lit(1)), blocks).cast("int")})
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumns({"first": F.least("own", "other"), "second": F.greatest("own", "other")})
-        .select("bucket", "first", "second", "own", "band", "node", "component", "is_hub", "low", "small")
+        .select("bucket", "first", "second", "own", "band", "node", "component", "is_hub", "low", "buckets", "small")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in _sorted_groups(batches, ["bucket", "first", "second"]):
             low = np.frombuffer(b"".join(rows["low"]), np.uint8).reshape(len(rows["low"]), REGISTERS)
+            bucket = np.array(rows["buckets"], np.int64)
             component = np.unique(np.array(rows["component"], object), return_inverse=True)[1]
             hub, own, band = np.array(rows["is_hub"]), np.array(rows["own"]), rows["band"][0]
             same_block = rows["first"][0] == rows["second"][0]
@@ -209,9 +210,8 @@ def links_apart(members: DataFrame, threshold: float) -> DataFrame:
                 rest = rest[(component[rest] != component[i]) & ~hub[rest] & (same_block | (own[rest] != own[i]))]
                 if hub[i] or not len(rest):
                     continue
-                equal = low[rest] == low[i]
-                in_band = equal.reshape(len(rest), BANDS, BAND_ROWS).all(axis=2)
-                rest = rest[(equal.mean(axis=1) >= enough) & ~in_band[:, :band].any(axis=1)]
+                before = (bucket[rest, :band] == bucket[i, :band]).any(axis=1)
+                rest = rest[((low[rest] == low[i]).mean(axis=1) >= enough) & ~before]
                 if not len(rest):
                     continue
                 sets = sets or weighted(expanded(pa.array(rows["small"], pa.binary())))
@@ -284,7 +284,7 @@ def node_components(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .join(hubs, "bucket")
         .withColumn("is_hub", F.col("node") == F.col("hub"))
         .drop("hub")
-        .join(made.select("node", "low"), "node")
+        .join(made.select("node", "low", "buckets"), "node")
         .join(texts, "node")
     )
     rest = links_apart(left, threshold)

@@ -136,3 +136,24 @@ def test_components(spark):
     linked = {x for a, b in pairs if a != b for x in (a, b)}
     assert got == {n: c for n, c in want.items() if n in linked}
     assert components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_a_chance_agreement_in_low_bytes_hides_no_pair(spark):
+    rng = random.Random(4)
+    base = prose(rng, 200)
+    texts = [" ".join(base), " ".join(edited(rng, base, 1))]
+    winners = near.sketch(*near.weighted(pa.array(texts)))
+    own = near.buckets(winners).view(np.int64)
+    band = int(np.flatnonzero(own[0] == own[1])[-1])
+    own[1, :band] = own[0, :band] + 1  # no earlier bucket in common, though all low bytes agree
+    press = near.zstandard.ZstdCompressor().compress
+    members = [
+        (int(own[0, band]), band, 3, bytes([i]), bytes([i]), False, bytes(near.REGISTERS), own[i].tolist(), press(t.encode()))
+        for i, t in enumerate(texts)
+    ]
+    names = "bucket bigint, band int, size bigint, node binary, component binary, is_hub boolean, low binary, buckets array<bigint>, small binary"
+    assert band > 0
+    assert near.links_apart(spark.createDataFrame(members, names), 0.8).count() == 1
+    own[1, 0] = own[0, 0]  # compared there
+    members[1] = (*members[1][:7], own[1].tolist(), members[1][8])
+    assert near.links_apart(spark.createDataFrame(members, names), 0.8).count() == 0
