@@ -10,9 +10,13 @@ SCATTER = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Table:
-    """Open addressing; ``room`` slots, of which at most half should be used."""
+    """Open addressing; ``room`` slots at first, and more as soon as over half would be used."""
 
     def __init__(self, room: int) -> None:
+        self.used = 0
+        self._clear(room)
+
+    def _clear(self, room: int) -> None:
         bits = max(int(room - 1).bit_length(), 4)
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys = np.zeros(1 << bits, np.uint64)  # one more than the key: 0 marks an empty slot
@@ -49,6 +53,12 @@ class Table:
 
     def put(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Add keys, each given once and not there yet."""
+        self.used += len(keys)
+        if 2 * self.used > len(self.keys):
+            held = np.flatnonzero(self.keys)
+            keys = np.concatenate([self.keys[held] - np.uint64(1), keys])
+            values = np.concatenate([self.values[held], values])
+            self._clear(4 * self.used)
         keys = keys + np.uint64(1)
         slots = self._slots(keys)
         while len(keys):

@@ -124,3 +124,13 @@ def test_packing_over_many_tasks(spark, library):
     docs = documents(spark, [" ".join(rng.choices(["the", "cat", "sat"], k=rng.choice([3, 3, rng.randint(0, 200)]))) for _ in range(300)])
     docs = docs.repartition(5)
     check_packing(packing.pack(docs, capacity=64).collect(), docs, library, 64)
+
+
+def test_one_text_may_bring_more_words_than_are_kept(library, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED_CHUNKS", 64)
+    coder = bpe.Encoder(PATH)
+    # Enough slots for the words held and those of one more short text, far too few for the long one.
+    assert len(coder.codes.keys) < 1000
+    for text in ["a few words before", " ".join(f"w{i}" for i in range(1000)), "and a few after w7"]:
+        ids, _ = coder.encode(*column_bytes(pa.array([text])))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
