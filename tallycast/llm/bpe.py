@@ -8,7 +8,7 @@ made them, which is read from the table of pairs. The result equals merging by r
 
 The new words of a batch take these steps together, as arrays: the automaton's goto table is walked from
 all places at once. A word of more than LONG bytes takes them alone. Stretches without white space that were met
-before are looked up by a 64-bit hash.
+before are looked up by a 64-bit hash and compared byte by byte; one that shares its hash with another is kept apart.
 
 Defined cases: a null or empty text has no tokens; the two added tokens are recognised in the text, as the
 vocabulary's library does; any other character reaches the byte level, so no text fails.
@@ -120,6 +120,9 @@ class Encoder:
         self.codes = Table(2 * CACHED_CHUNKS)
         self.flat = np.zeros(0, np.uint32)
         self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.spelt = np.zeros(0, np.uint8)  # the known stretches' bytes
+        self.spelt_start, self.spelt_size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.apart: dict[bytes, int] = {}  # stretches whose hash is another one's
 
     def fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether each ``right`` may follow its ``left``: goes back over the merges on both sides of the border."""
@@ -269,9 +272,9 @@ class Encoder:
             out.extend([self.added[part]] if part in self.added else self.plain([part])[0].tolist())
         return out
 
-    def learn(self, raw: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> None:
-        """Encode stretches that are not known yet and keep their tokens."""
-        chunks = [raw[a:b].decode("utf-8", "surrogatepass") for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    def learn(self, pieces: list[bytes]) -> np.ndarray:
+        """Encode stretches that are not known yet, keep their bytes and tokens, and return their numbers."""
+        chunks = [piece.decode("utf-8", "surrogatepass") for piece in pieces]
         odd = [i for i, chunk in enumerate(chunks) if "<|" in chunk and self.marks.search(chunk)]
         apart = {i: self.marked(chunks[i]) for i in odd}
         for i in odd:
@@ -284,9 +287,24 @@ class Encoder:
             begins[i], counts[i] = used, len(ids)
             rest.append(np.array(ids, np.uint32))
             used += len(ids)
-        self.codes.put(hashes, np.arange(len(hashes)) + len(self.starts))
+        sizes = np.array([len(piece) for piece in pieces], np.int64)
+        self.spelt_start = np.concatenate([self.spelt_start, np.cumsum(sizes) - sizes + len(self.spelt)])
+        self.spelt_size = np.concatenate([self.spelt_size, sizes])
+        self.spelt = np.concatenate([self.spelt, np.frombuffer(b"".join(pieces), np.uint8)])
+        numbers = np.arange(len(pieces)) + len(self.starts)
         self.flat = np.concatenate([self.flat, *rest])
         self.starts, self.counts = np.concatenate([self.starts, begins]), np.concatenate([self.counts, counts])
+        return numbers
+
+    def other_than_known(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The places of stretches whose bytes aren't those kept under their hash."""
+        differ = lengths != self.spelt_size[codes]
+        at = np.flatnonzero(~differ)
+        if len(at):
+            sizes = lengths[at]
+            same = data[spread(starts[at], sizes)] == self.spelt[spread(self.spelt_start[codes[at]], sizes)]
+            differ[at] = ~np.logical_and.reduceat(same, np.cumsum(sizes) - sizes)
+        return np.flatnonzero(differ)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of the texts that ``offsets`` cuts ``data`` into, in a row, and the offsets of each text's ids."""
@@ -298,8 +316,15 @@ class Encoder:
                 codes[:] = -1
             new, at = np.unique(found.hashes[codes < 0], return_index=True)
             at = np.flatnonzero(codes < 0)[at]
-            self.learn(data.tobytes(), found.starts[at], found.starts[at] + found.lengths[at], new)
+            raw = data.tobytes()
+            begins, ends = found.starts[at], found.starts[at] + found.lengths[at]
+            self.codes.put(new, self.learn([raw[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]))
             codes[codes < 0] = self.codes.get(found.hashes[codes < 0])
+        for i in self.other_than_known(data, found.starts, found.lengths, codes).tolist():
+            piece = data[found.starts[i] : found.starts[i] + found.lengths[i]].tobytes()
+            if piece not in self.apart:
+                self.apart[piece] = int(self.learn([piece])[0])
+            codes[i] = self.apart[piece]
         counts = self.counts[codes]
         ids = self.flat[spread(self.starts[codes], counts)]
         return ids, np.concatenate([[0], np.cumsum(counts)])[found.first]

@@ -12,8 +12,8 @@ longer than a window. Stretches are dealt out by their anchor's hash.
 3. An anchor with more than CROWD different stretches (a passage in very many surroundings) would make too large an
    index: its windows are dealt out by a hash of all their bytes instead. The result is the same.
 
-Positions are counted in UTF-8 bytes. Documents follow each other by id; null ids come first, and texts of one id by a hash of the
-text; a row that repeats id and text has the same result as the row it repeats. A null text counts as empty. Texts shorter
+Positions are counted in UTF-8 bytes. Documents follow each other by id; null ids come first, and texts of one id by the
+text's digest; a row that repeats id and text has the same result as the row it repeats. A null text counts as empty. Texts shorter
 than LENGTH have no repeats. What is left of a character that was cut is dropped from the kept text, but counted in the digests' bytes.
 """
 
@@ -41,9 +41,12 @@ SPAN, STRETCH, CROWDED = 0, 1, 2
 
 # What the steps hand on: a found span (kind SPAN), a stretch to look into, or one of a crowded anchor. ``place`` is the
 # first window's start, ``count`` the number of windows.
-ROWS = "kind int, anchor bigint, content bigint, id bigint, tie int, place bigint, count int"
+ROWS = "kind int, anchor bigint, content bigint, id bigint, tie bigint, tie2 bigint, place bigint, count int"
 ROW_NAMES = [part.split()[0] for part in ROWS.split(", ")]
-ROW_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+ROW_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+
+#: What tells rows apart: the id, and 128 bits of the text's digest where ids repeat.
+PLACED = ["id", "tie", "tie2"]
 
 _inverse = np.ones(1, np.uint64)
 
@@ -117,7 +120,7 @@ def row_batch(kind: np.ndarray, **columns: np.ndarray) -> pa.RecordBatch:
 
 def first_of_each(found: dict[str, np.ndarray], kind: int) -> pa.RecordBatch:
     """Keeps a batch's earliest row of each anchor and content; the others become spans, dealt out by their place."""
-    order = np.lexsort(tuple(found[name] for name in ("place", "tie", "id", "content", "anchor")))
+    order = np.lexsort(tuple(found[name] for name in ("place", "tie2", "tie", "id", "content", "anchor")))
     found = {name: x[order] for name, x in found.items()}
     new = np.ones(len(order), bool)
     new[1:] = (found["anchor"][1:] != found["anchor"][:-1]) | (found["content"][1:] != found["content"][:-1])
@@ -131,8 +134,8 @@ def first_of_each(found: dict[str, np.ndarray], kind: int) -> pa.RecordBatch:
 
 
 def _same_place(found: dict[str, np.ndarray]) -> np.ndarray:
-    """Whether a sorted row has the id, tie and place of the row before it: a repeated row of the input."""
-    return np.logical_and.reduce([found[name][1:] == found[name][:-1] for name in ("id", "tie", "place")])
+    """Whether a sorted row has the id, ties and place of the row before it: a repeated row of the input."""
+    return np.logical_and.reduce([found[name][1:] == found[name][:-1] for name in (*PLACED, "place")])
 
 
 def found_stretches(docs: DataFrame, length: int) -> DataFrame:
@@ -142,7 +145,7 @@ def found_stretches(docs: DataFrame, length: int) -> DataFrame:
         for batch in pieces(batches, "text"):
             found = stretches(*column_bytes(batch.column("text")), length)
             row = found.pop("row")
-            found |= {"id": batch.column("id").to_numpy()[row], "tie": batch.column("tie").to_numpy()[row]}
+            found |= {name: batch.column(name).to_numpy()[row] for name in PLACED}
             yield first_of_each(found, STRETCH)
 
     return docs.mapInArrow(run, ROWS)
@@ -212,7 +215,7 @@ def sift(rows: DataFrame) -> DataFrame:
 
     return (
         rows.repartition("anchor")
-        .sortWithinPartitions("kind", "anchor", "content", "id", "tie", "place")
+        .sortWithinPartitions("kind", "anchor", "content", *PLACED, "place")
         .mapInArrow(run, ROWS)
     )
 
@@ -235,7 +238,7 @@ def small_texts(docs: DataFrame) -> DataFrame:
 
 def fetched(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """Step 2 and 3: the bytes of stretches to index, and the windows of crowded ones by their hash."""
-    each = wanted.groupBy("id", "tie").agg(F.collect_list(F.struct("kind", "anchor", "place", "count")).alias("wanted"))
+    each = wanted.groupBy(*PLACED).agg(F.collect_list(F.struct("kind", "anchor", "place", "count")).alias("wanted"))
     schema = ROWS + ", bytes binary"
     names = [*ROW_NAMES, "bytes"]
 
@@ -250,7 +253,7 @@ def fetched(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
             flat = lists.flatten()
             kind, anchor, place, count = (flat.field(i).to_numpy() for i in range(4))
             row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-            ids, ties = batch.column("id").to_numpy()[row], batch.column("tie").to_numpy()[row]
+            placed = {name: batch.column(name).to_numpy()[row] for name in PLACED}
             at = begin[row] + place
             whole = np.flatnonzero(kind == STRETCH)
             if len(whole):
@@ -258,7 +261,7 @@ def fetched(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 ends = at + count + length - 1
                 made = row_batch(
                     kind[whole], anchor=anchor[whole], content=np.zeros(len(whole), np.int64),
-                    id=ids[whole], tie=ties[whole], place=place[whole], count=count[whole],
+                    place=place[whole], count=count[whole], **{name: x[whole] for name, x in placed.items()},
                 )
                 some = pa.array([raw[a:b] for a, b in zip(at[whole].tolist(), ends[whole].tolist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([*made.columns, some], names=names)
@@ -272,13 +275,13 @@ def fetched(wanted: DataFrame, docs: DataFrame, length: int) -> DataFrame:
                 found = {
                     "anchor": rolling.of(starts, starts + length),
                     "content": rolling.of(starts, middle),  # a second hash, of a part
-                    "id": ids[owner], "tie": ties[owner],
+                    **{name: x[owner] for name, x in placed.items()},
                     "place": starts - begin[row[owner]], "count": np.ones(len(starts), np.int64),
                 }
                 made = first_of_each(found, CROWDED)
                 yield pa.RecordBatch.from_arrays([*made.columns, pa.nulls(made.num_rows, pa.binary())], names=names)
 
-    return each.join(small_texts(docs), ["id", "tie"]).select("id", "tie", "wanted", "text").mapInArrow(run, schema)
+    return each.join(small_texts(docs), PLACED).select(*PLACED, "wanted", "text").mapInArrow(run, schema)
 
 
 def spans_among(rows: DataFrame, length: int) -> DataFrame:
@@ -298,7 +301,7 @@ def spans_among(rows: DataFrame, length: int) -> DataFrame:
         part, offset = part[first], offset[first]
         take = lambda i: np.array([parts[j][i] for j in part.tolist()], np.int64)
         zero = np.zeros(len(part), np.int64)
-        return row_batch(zero, anchor=zero, content=zero, id=take(1), tie=take(2), place=take(3) + offset, count=count)
+        return row_batch(zero, anchor=zero, content=zero, id=take(1), tie=take(2), tie2=take(3), place=take(4) + offset, count=count)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -309,7 +312,7 @@ def spans_among(rows: DataFrame, length: int) -> DataFrame:
             if spans.num_rows:
                 yield spans.select(ROW_NAMES)
             part = batch.filter(pa.array(kinds == STRETCH)).to_pydict()
-            for key, raw, *where in zip(*(part[name] for name in ("anchor", "bytes", "id", "tie", "place")), strict=True):
+            for key, raw, *where in zip(*(part[name] for name in ("anchor", "bytes", *PLACED, "place")), strict=True):
                 if key == anchor and held and held[-1][1:] == tuple(where):
                     continue  # a repeated row of the input
                 if key != anchor and size > INDEX_BYTES:
@@ -333,25 +336,31 @@ def spans_among(rows: DataFrame, length: int) -> DataFrame:
 
     return (
         rows.repartition("anchor")
-        .sortWithinPartitions("kind", "anchor", "content", "id", "tie", "place")
+        .sortWithinPartitions("kind", "anchor", "content", *PLACED, "place")
         .mapInArrow(run, ROWS)
     )
 
 
 def with_spans(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
     """All columns of ``docs``, the text compressed, as structs ``row``, with ``text`` and the spans found in it."""
+    number = F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63)))
+    # Only where an id repeats do rows need telling apart; else the ties would swell the shuffles for nothing.
+    unique = docs.groupBy(number.alias("id")).count().filter("count > 1").isEmpty()
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    half = lambda at: F.lit(0).cast("bigint") if unique else F.conv(F.substring(digest, at, 16), 16, -10).cast("bigint")
     rows = docs.select(
-        F.coalesce(F.col(key).cast("bigint"), F.lit(-(1 << 63))).alias("id"),
-        F.hash(F.coalesce(F.col(text), F.lit(""))).alias("tie"),
+        number.alias("id"),
+        half(1).alias("tie"),
+        half(17).alias("tie2"),
         F.col(text).alias("text"),
         F.struct(*(docs[name] for name in docs.columns if name != text)).alias("row"),
     )
-    texts = rows.select("id", "tie", "text")
+    texts = rows.select(*PLACED, "text")
     sifted = materialize(sift(found_stretches(texts, length)), "stretches")
     wanted = sifted.filter(F.col("kind") != SPAN)
     spans = sifted.filter(F.col("kind") == SPAN).unionByName(spans_among(fetched(wanted, texts, length), length))
-    each = spans.groupBy("id", "tie").agg(F.collect_list(F.struct("place", "count")).alias("spans"))
-    return small_texts(rows).join(each, ["id", "tie"], "left").select("row", "text", "spans")
+    each = spans.groupBy(*PLACED).agg(F.collect_list(F.struct("place", "count")).alias("spans"))
+    return small_texts(rows).join(each, PLACED, "left").select("row", "text", "spans")
 
 
 def cut(raw: bytes, places: np.ndarray, counts: np.ndarray, length: int) -> tuple[bytes, int, int]:

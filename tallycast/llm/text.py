@@ -98,10 +98,11 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = 1 << 19)
 
 
 _powers = np.ones(1, np.uint64)
+_multipliers = np.ones(0, np.uint64)
 
 
 def powers(count: int) -> np.ndarray:
-    """The first ``count`` powers of the word hash's base."""
+    """The first ``count`` powers of the base of rolling hashes."""
     global _powers
     if len(_powers) < count:
         grown = np.full(max(count, 256), WORD_BASE, np.uint64)
@@ -110,6 +111,14 @@ def powers(count: int) -> np.ndarray:
     return _powers
 
 
+def multipliers(count: int) -> np.ndarray:
+    """An odd number for each place in a word. They don't follow a rule that structured words could share, as powers of one base would."""
+    global _multipliers
+    if len(_multipliers) < count:
+        _multipliers = mix(np.arange(1, max(2 * count, 256) + 1, dtype=np.uint64) * GOLDEN + PAD_WORD) | np.uint64(1)
+    return _multipliers
+
+
 def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = SPACED) -> Words:
     """Maximal runs of the class's bytes; none reaches over the end of its text."""
     codes = kind[data]
@@ -134,7 +143,7 @@ def run_hashes(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Hashes of runs that lie one after the other in ``codes`` (class codes, all above 0; no run is empty)."""
     from_run = np.cumsum(lengths) - lengths
     place = np.arange(len(codes)) - np.repeat(from_run, lengths)
-    table = powers(int(lengths.max()))
+    table = multipliers(int(lengths.max()))
     return mix(np.add.reduceat(BYTE_VALUES[codes - 1] * table[place], from_run))
 
 

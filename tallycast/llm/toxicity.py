@@ -11,7 +11,7 @@ The models learn from at most PER_CLASS labelled rows of each class and fold, dr
 MAX_ENTRIES most frequent words and beginnings. Both bounds hold at every size, so the model can be broadcast. Everything is scored.
 
 Defined cases: null or empty texts, and texts without words, have features 0; without labelled rows of both classes every
-score is the share of label 1 among them, or 0 without any; labels that are null or of unknown ids are left out, and a
+score is the share of label 1 among them, or 0 without any; labels that are null or whose ids have no document are left out, and a
 document labelled twice is toxic if one label says so; a null id counts as the empty text in the folds.
 """
 
@@ -209,16 +209,17 @@ def logistic(features: np.ndarray, toxic: np.ndarray, strength: float = 0.001) -
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> Model:
     """Train on the drawn labelled rows. Runs Spark jobs; what it returns is bounded by MAX_ENTRIES."""
     chosen = materialize(drawn(labels, key, label), "toxic-ids")
-    classes = {(row.toxic, row.use): row["count"] for row in chosen.groupBy("toxic", "use").count().collect()}
+    # At most four times PER_CLASS ids: broadcast.
+    rows = materialize(
+        docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key"), "toxic-rows"
+    )
+    # Labels whose ids have no document don't count.
+    classes = {(row.toxic, row.use): row["count"] for row in rows.groupBy("toxic", "use").count().collect()}
     constant = Model(*(np.zeros(0, np.uint64), np.zeros(0)) * 2, 0.0)
     share = sum(n for (toxic, _), n in classes.items() if toxic) / max(sum(classes.values()), 1)
     constant.curve = np.array([0, 0, 0, np.log(share / (1 - share)) if 0 < share < 1 else 60 * share - 30])
     if not all(classes.get((c, 0)) for c in (0, 1)):
         return constant
-    # At most four times PER_CLASS ids: broadcast.
-    rows = materialize(
-        docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), "key"), "toxic-rows"
-    )
     model = smooth(materialize(continuations(rows.filter("use = 0")), "toxic-pairs"))
     check = 1 if all(classes.get((c, 1)) for c in (0, 1)) else 0
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -231,8 +232,6 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), *(pa.array(x) for x in found.T.copy())], names=["toxic", "a", "b", "c"])
 
     seen = rows.filter(F.col("use") == check).select("toxic", "text").mapInArrow(run, "toxic int, a double, b double, c double").toPandas()
-    if seen.toxic.nunique() < 2:  # the labelled ids have no documents
-        return constant
     model.curve = logistic(seen[["a", "b", "c"]].to_numpy(), seen.toxic.to_numpy())
     return model
 

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tallycast.llm import bpe, packing
-from tallycast.llm.text import column_bytes
+from tallycast.llm.text import column_bytes, words
 from tests.llm.helpers import documents, empty_documents, odd_documents, sha
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -134,3 +134,36 @@ def test_one_text_may_bring_more_words_than_are_kept(library, monkeypatch):
     for text in ["a few words before", " ".join(f"w{i}" for i in range(1000)), "and a few after w7"]:
         ids, _ = coder.encode(*column_bytes(pa.array([text])))
         assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def complement_pair():
+    """Two words that any hash by powers of an odd base modulo 2**64 takes for one."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_structured_words_are_told_apart(library):
+    pair = complement_pair()
+    found = words(*column_bytes(pa.array([" ".join(pair)])))
+    assert len(set(found.hashes.tolist())) == 2
+    coder = bpe.Encoder(PATH)
+    for text in [*pair, " ".join(pair)]:
+        ids, _ = coder.encode(*column_bytes(pa.array([text])))
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_one_hash_are_told_apart(library, monkeypatch):
+    def colliding(data, offsets, kind):
+        found = words(data, offsets, kind)
+        found.hashes &= np.uint64(7)
+        return found
+
+    monkeypatch.setattr(bpe, "words", colliding)
+    coder = bpe.Encoder(PATH)
+    for _ in range(2):
+        for made in (texts()[:150], ["ab ba ab cd " * 3, "<|endoftext|> ab", ""]):
+            ids, offsets = coder.encode(*column_bytes(pa.array(made)))
+            for i, want in enumerate(library.encode_batch(made, add_special_tokens=False)):
+                assert ids[offsets[i] : offsets[i + 1]].tolist() == want.ids, made[i]

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -123,3 +124,21 @@ def test_index_is_small_on_repetitive_data():
     part = bytes(random.Random(1).choices(b"abcdefgh", k=300))
     index = RunIndex(np.frombuffer(part * 50, np.uint8), np.full(50, 300))
     assert index.runs < 1000 and len(index.kept) < 1000 and index.size == 301 * 50
+
+
+def test_rows_of_one_id_are_told_apart_by_their_whole_texts(spark):
+    rng = random.Random(12)
+    start = "".join(rng.choices("abcdefg", k=150))
+    rows = [(key, start + "".join(rng.choices("hijk", k=rng.randint(0, 60)))) for key in [None] * 40 + [5] * 40 + [6]]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+
+    def place(row):
+        digest = hashlib.md5(row[1].encode()).digest()
+        halves = [int.from_bytes(digest[i : i + 8], "big", signed=True) for i in (0, 8)]
+        return (-1 if row[0] is None else row[0], *halves)
+
+    order = sorted(set(rows), key=place)
+    want = {order[i]: x[1:] for i, x in enumerate(brute([(i, text) for i, (_, text) in enumerate(order)]))}
+    got = sorted((r.doc_id or -1, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.repeat_digests(docs).collect())
+    assert got == sorted((key or -1, *want[key, text]) for key, text in rows)
+    assert sum(x[2] == 0 for x in got) == sum(row == order[0] for row in rows)

@@ -58,6 +58,9 @@ def test_odd_rows_and_labels(spark):
     nothing = labels.limit(0)
     assert {r.score for r in toxicity.classify(odd, nothing).collect()} <= {r.score for r in rows} | {toxicity_floor()}
     assert toxicity.classify(empty_documents(spark), labels).count() == 0
+    # Labelled ids of one class have no documents.
+    away = labels.withColumn("doc_id", labels.doc_id + labels.toxic * 10**9)
+    assert {r.predicted for r in toxicity.classify(docs, away).collect()} == {0}
     one_class = labels.filter("toxic = 0")
     assert {r.predicted for r in toxicity.classify(docs, one_class).collect()} == {0}
 
