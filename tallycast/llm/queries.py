@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallycast.llm import perspectives, topk
+from tallycast.llm import divergence, perspectives, secrets, topk
 from tallycast.llm.bpe import encode_decode
 from tallycast.llm.fingerprint import edited_likeness
 from tallycast.llm.licenses import scan
@@ -63,6 +63,14 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+def op13_secret_ledger(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secret_digests(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -76,8 +84,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_log_frequency_scores,
         op10_toxicity,
+        op12_source_divergence,
+        op13_secret_ledger,
     )
 }
 
 #: The others rest on hash sketches, automata, fitted models or byte positions; tests hold them against brute force.
-ORACLES: dict[str, str] = {"op1_top_products": topk.SQL, "op5_perspectives": perspectives.SQL}
+ORACLES: dict[str, str] = {
+    "op1_top_products": topk.SQL,
+    "op5_perspectives": perspectives.SQL,
+    "op12_source_divergence": divergence.SQL,
+    "op13_secret_ledger": secrets.SQL,
+}
