@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallycast.llm import divergence, perspectives, secrets, topk
+from tallycast.llm import divergence, perspectives, secrets, topk, variants
 from tallycast.llm.bpe import encode_decode
 from tallycast.llm.fingerprint import edited_likeness
 from tallycast.llm.licenses import scan
@@ -63,6 +63,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, folder, "documents"))
+
+
 def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergence(table(spark, folder, "documents"))
 
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_license_scan,
         op9_log_frequency_scores,
         op10_toxicity,
+        op11_spelling_variants,
         op12_source_divergence,
         op13_secret_ledger,
     )
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_top_products": topk.SQL,
     "op5_perspectives": perspectives.SQL,
+    "op11_spelling_variants": variants.SQL,
     "op12_source_divergence": divergence.SQL,
     "op13_secret_ledger": secrets.SQL,
 }
