@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tallycast import schemas
 from tallycast.functions.times import MINUTES_PER_DAY
 from tallycast.operators import autoregression as ar
-from tallycast.operators import outlook, regression
+from tallycast.operators import lagsums, outlook, regression
 from tallycast.operators.series import last_seen
 from tallycast.operators.slots import cumulative_slots as cumulative_slots_of
 from tallycast.operators.slots import slot_time_series
@@ -195,6 +195,56 @@ QUERIES["ar_fit_p2"] = ar_fit_p2
 ORACLES["ar_fit_p2"] = _phi_sql(MINUTES_SQL, "minutes", 2)
 
 
+def ar_fit_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Maximum-likelihood models of the full order beside the conditional ones. Tests hold them against a Kalman filter."""
+    series = materialize(minute_series(spark, folder), "minutes")
+    models = lagsums.fit_exact(series)
+    other = ar.fit(series).select(F.col("key").alias("_key"), F.col("phi").alias("_phi"))
+    both = models.join(other, F.col("key").eqNullSafe(F.col("_key")))
+    rows = both.select(
+        "key", "n", "status", "sigma2", "log_likelihood",
+        *[F.col("phi")[i].alias(f"phi_{i + 1}") for i in range(5)],
+        *[F.col("_phi")[i].alias(f"conditional_{i + 1}") for i in range(5)],
+    )
+    return rounded(rows, [c for c in rows.columns if c not in ("key", "n", "status")])
+
+
+def ar_fit_exact_p1(spark: SparkSession, folder: str) -> DataFrame:
+    models = lagsums.fit_exact(minute_series(spark, folder), lags=1)
+    return rounded(
+        models.select("key", "n", "last_ts", "last_value", "sigma2", "log_likelihood", F.col("phi")[0].alias("phi_1")),
+        ["sigma2", "log_likelihood", "phi_1"], 5,
+    )
+
+
+def ar_forecast_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """The live horizon ahead by maximum-likelihood models of order 1."""
+    return rounded(ar.forecast(lagsums.fit_exact(minute_series(spark, folder), lags=1)), ["forecast"], 3)
+
+
+QUERIES["ar_fit_exact"] = ar_fit_exact
+QUERIES["ar_fit_exact_p1"] = ar_fit_exact_p1
+QUERIES["ar_forecast_exact"] = ar_forecast_exact
+# The slope of the likelihood changes sign once between -1 and 1: halve the interval until it is one number.
+_EXACT_SQL = f"""WITH RECURSIVE {MINUTES_SQL},
+diffs AS (SELECT *, total - lag(total) OVER (PARTITION BY key ORDER BY ts) AS d FROM minutes),
+lagged AS (SELECT *, lag(d) OVER (PARTITION BY key ORDER BY ts) AS l1 FROM diffs),
+sums AS (SELECT key, count(d) AS n, CAST(sum(d * d) AS DOUBLE) AS d00, CAST(sum(d * l1) AS DOUBLE) AS d01,
+    CAST(sum(d * d) - arg_min(d * d, ts) - arg_max(d * d, ts) AS DOUBLE) AS d11, max(ts) AS last_ts,
+    arg_max(CAST(total AS DOUBLE), ts) AS last_value, arg_max(CAST(d AS DOUBLE), ts) AS t1 FROM lagged GROUP BY key),
+halved AS (SELECT sums.*, CAST(-1 AS DOUBLE) AS low, CAST(1 AS DOUBLE) AS high, 0 AS round FROM sums
+    UNION ALL SELECT * EXCLUDE (middle, slope) REPLACE (CASE WHEN slope < 0 THEN middle ELSE low END AS low, CASE WHEN slope < 0 THEN high ELSE middle END AS high,
+        round + 1 AS round) FROM (SELECT *, n * (d11 * middle - d01) * (1 - middle * middle)
+        + middle * (d00 - 2 * d01 * middle + d11 * middle * middle) AS slope FROM (SELECT *, (low + high) / 2 AS middle FROM halved WHERE round < 60))),
+fitted AS (SELECT key, n, last_ts, last_value, t1, low AS phi_1, (d00 - 2 * d01 * low + d11 * low * low) / n AS sigma2 FROM halved WHERE round = 60),
+phi AS (SELECT *, -0.5 * n * (ln(2 * pi() * sigma2) + 1) + 0.5 * ln(1 - phi_1 * phi_1) AS log_likelihood FROM fitted)"""
+ORACLES["ar_fit_exact_p1"] = f"""{_EXACT_SQL}
+SELECT key, n, last_ts, last_value, {_round_sql(["sigma2", "log_likelihood", "phi_1"], 5)} FROM phi"""
+ORACLES["ar_forecast_exact"] = f"""{_EXACT_SQL},
+{ar_forecast_sql("key", 1, ar.LIVE_HORIZON)}
+SELECT key, step, ts, round(forecast, 3) + 0.0 AS forecast FROM ahead"""
+
+
 def _live_forecast(spark: SparkSession, folder: str) -> DataFrame:
     return ar.forecast(ar.fit(minute_series(spark, folder)))
 
