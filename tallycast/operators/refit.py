@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallycast.functions.times import minute_start
 from tallycast.operators import autoregression as ar
+from tallycast.operators.lagsums import chronological, product_terms
 from tallycast.operators.series import fill_minutes, minute_totals
 from tallycast.operators.triggers import every_interval, numbered, place
 from tallycast.session import materialize
@@ -73,7 +74,27 @@ def refit_equations(parts: DataFrame, n: int, lags: int = ar.LAGS) -> DataFrame:
     only the few minutes after that are worked out per refit. So the work grows with minutes plus
     refits, not with their product.
     """
-    final = _final_series(parts, lags)
+    series = _snapshot_series(parts, _final_series(parts, lags), n, lags)
+    is_settled = F.col("epoch_minute") < F.col("settled")
+    features = ar.lag_features(series, REFIT, "epoch_minute", lags=lags)
+    added = ar.lag_products(F.col("d"), [F.col(f"l{i}") for i in range(1, lags + 1)])
+    # Running sums are read at the last settled minute; unsettled minutes add their own products.
+    at_settled = F.col("epoch_minute") == F.col("settled") - 1
+    sums = [
+        F.sum(F.when(at_settled, F.col("_sums")[name]).when(~is_settled, term).otherwise(0)).alias(name)
+        for name, term in added.items()
+    ]
+    last = F.struct(
+        minute_start(F.col("epoch_minute")).alias("last_ts"),
+        F.col("total").cast("double").alias("last_value"),
+        ar.recent(lags).alias("tail"),
+    )
+    equations = features.groupBy(*REFIT).agg(*sums, F.max_by(last, F.col("epoch_minute")).alias("_last"))
+    return equations.select("*", "_last.*").drop("_last")
+
+
+def _snapshot_series(parts: DataFrame, final: DataFrame, n: int, lags: int) -> DataFrame:
+    """Per refit and key the minutes from a little before ``settled`` to the end, with their totals and the final series' ``_sums``."""
     ends = _snapshot_ends(parts, n, lags)
     pieces = parts.select(
         F.col("key").alias("_pkey"), F.col("epoch_minute").alias("_pminute"), F.col("interval").alias("_pinterval"),
@@ -92,23 +113,61 @@ def refit_equations(parts: DataFrame, n: int, lags: int = ar.LAGS) -> DataFrame:
     is_settled = F.col("epoch_minute") < F.col("settled")
     so_far = W.partitionBy(*REFIT).orderBy("epoch_minute").rowsBetween(W.unboundedPreceding, W.currentRow)
     total = F.last(F.when(is_settled, F.col("_final")).otherwise(F.col("_own")), ignorenulls=True).over(so_far)
-    series = values.withColumn("total", total).filter(F.col("total").isNotNull())
+    return values.withColumn("total", total).filter(F.col("total").isNotNull())
 
-    features = ar.lag_features(series, REFIT, "epoch_minute", lags=lags)
-    added = ar.lag_products(F.col("d"), [F.col(f"l{i}") for i in range(1, lags + 1)])
-    # Running sums are read at the last settled minute; unsettled minutes add their own products.
+
+def _final_summaries(parts: DataFrame, lags: int) -> DataFrame:
+    """The whole history's series with, at each minute, the summary of the series up to it."""
+    totals = parts.groupBy("key", "epoch_minute").agg(F.max_by("total", F.struct("latest_ts", "last_arrival")).alias("total"))
+    upto_here = W.partitionBy("key").orderBy("epoch_minute").rowsBetween(W.unboundedPreceding, W.currentRow)
+    features = ar.lag_features(fill_minutes(totals), ts="epoch_minute", lags=lags).withColumns(
+        {"_first": F.first("epoch_minute").over(upto_here), "_start": F.first("total").over(upto_here)}
+    )
+    place = F.col("epoch_minute") - F.col("_first")
+    heads = {f"h_{i}": F.max(F.when(place == i, F.col("d").cast("double"))).over(upto_here) for i in range(1, lags + 1)}
+    running = {name: F.sum(term).over(upto_here) for name, term in product_terms(lags).items()}
+    return features.select(
+        F.col("key").alias("_key"),
+        F.col("epoch_minute").alias("_minute"),
+        F.col("total").alias("_final"),
+        F.struct(*[c.alias(name) for name, c in (running | heads).items()], "_first", "_start").alias("_sums"),
+    )
+
+
+def refit_summaries(parts: DataFrame, n: int, lags: int = ar.LAGS) -> DataFrame:
+    """The summary of the series each refit saw, ``(interval, key, SUMMARY)``, exact for events in any order.
+
+    Shares the settled minutes' sums between refits, as ``refit_equations`` does.
+    """
+    series = _snapshot_series(parts, _final_summaries(parts, lags), n, lags)
     at_settled = F.col("epoch_minute") == F.col("settled") - 1
+    is_settled = F.col("epoch_minute") < F.col("settled")
+    seen = W.partitionBy(*REFIT)
+    first = F.coalesce(F.max(F.when(at_settled, F.col("_sums._first"))).over(seen), F.min("epoch_minute").over(seen))
+    features = ar.lag_features(series, REFIT, "epoch_minute", lags=lags).withColumn("_begin", first)
     sums = [
         F.sum(F.when(at_settled, F.col("_sums")[name]).when(~is_settled, term).otherwise(0)).alias(name)
-        for name, term in added.items()
+        for name, term in product_terms(lags).items()
     ]
-    last = F.struct(
-        minute_start(F.col("epoch_minute")).alias("last_ts"),
-        F.col("total").cast("double").alias("last_value"),
-        ar.recent(lags).alias("tail"),
+    d = F.col("d").cast("double")
+    own = lambda i: F.max(F.when(~is_settled & (F.col("epoch_minute") - F.col("_begin") == i), d))
+    heads = [F.coalesce(F.max(F.when(at_settled, F.col("_sums")[f"h_{i}"])), own(i)) for i in range(1, lags + 1)]
+    start = F.coalesce(F.max(F.when(at_settled, F.col("_sums._start"))), F.min_by("total", "epoch_minute"))
+    last = F.struct("epoch_minute", F.col("total").cast("double").alias("total"), chronological(lags).alias("tail"))
+    return (
+        features.groupBy(*REFIT)
+        .agg(
+            *sums,
+            F.array_compact(F.array(*heads)).alias("head"),
+            F.min("_begin").alias("first_minute"),
+            start.cast("double").alias("first_total"),
+            F.max_by(last, F.col("epoch_minute")).alias("_last"),
+        )
+        .select(
+            *REFIT, "n", F.array(*(f"p_{h}" for h in range(lags + 1))).alias("products"), "head", "_last.tail", "first_minute",
+            "first_total", F.col("_last.epoch_minute").alias("last_minute"), F.col("_last.total").alias("last_total"),
+        )
     )
-    equations = features.groupBy(*REFIT).agg(*sums, F.max_by(last, F.col("epoch_minute")).alias("_last"))
-    return equations.select("*", "_last.*").drop("_last")
 
 
 def refit_models(parts: DataFrame, triggers: DataFrame, lags: int = ar.LAGS) -> DataFrame:
