@@ -4,9 +4,9 @@ Chunk factorization: white-space chunks are counted per document and gathered pe
 texts; each globally distinct chunk is cut into terms once, the terms are joined back to the counts, and occurrences and distinct documents
 are aggregated per (language, source, term). Terms have no white space in them, so no term is lost between chunks.
 
-A document may hold a term in several chunks, so documents can't be added up over chunks. As only ``min_docs`` of them matter, each count
-carries the numbers of up to that many different documents, and counts are merged by uniting these: whether a term is in that many
-documents is exact, and a count's size is bounded. A source's documents are no other source's, so sources add up.
+A document may hold a term in several chunks, so documents can't be added up over chunks. As only ``min_docs`` of them matter, a chunk of
+a language in fewer documents carries their numbers, and another one a mark; these are united per term. Whether a term is in that many
+documents is exact, and what a count carries is bounded.
 
 All arithmetic is in whole numbers. A pair's value is a sum over all kept terms, of which most are in neither source or in one: with p0 for a
 count of zero, it is the constant of (p0, q0) times the kept terms, plus what a term of one source alone adds, worked out once per different
@@ -15,13 +15,12 @@ SLICE sources.
 
 Defined cases: null text, language and source are ''; every row is a document, also repeated rows and those of equal or null ids; a group
 without terms has pair values like any other; a language without kept terms has values 0; an empty table gives no rows; other columns are
-not read. Texts may be of any length: a task holds the different chunks of one text and HELD more.
+not read. Texts may be of any length: a task holds the chunks of one text, or of HELD_BYTES of them.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,112 +28,238 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallycast.llm.text import spread
+from tallycast.llm.text import Words, byte_class, column_bytes, pieces, spread, words
 from tallycast.session import materialize
 
 MIN_DOCS = 3
 SCALE = 1_000_000_000
 PRIOR = 1
 TOP_TERMS = 200
-HELD = 1 << 18  # different chunks or terms that a task gathers before it hands them on
+HELD_BYTES = 1 << 24  # texts whose chunks a task gathers before it hands them on
+HELD = 1 << 17  # chunk counts whose terms a task gathers before it hands them on
+HANDED_ON = 1 << 15  # rows of a batch
 SLICE = 1024  # sources of a term that meet the others in one task
 BLOCK = 1 << 16  # counts that meet in one task, about
 MEETINGS = 1 << 20  # pairs of sources worked on at once
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+CHUNK = byte_class([b for b in range(256) if b not in b" \t\n\x0b\x0c\r"], lower=False)
+LETTER = np.array([b >= 128 or chr(b).isalpha() for b in range(256)])
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-class Gathered:
-    """Occurrences and up to ``least`` different documents of items, by group."""
-
-    def __init__(self, least: int, item: str) -> None:
-        self.least, self.item, self.size = least, item, 0
-        self.groups: dict[tuple[str, str], dict] = {}
-
-    def add(self, group: tuple[str, str], item: bytes | str, number: int, docs: list[int]) -> None:
-        items = self.groups.get(group)
-        if items is None:
-            items = self.groups[group] = {}
-        entry = items.get(item)
-        if entry is None:
-            items[item] = [number, *docs]
-            self.size += 1
-        else:
-            entry[0] += number
-            if len(entry) <= self.least:
-                entry.extend([x for x in docs if x not in entry[1:]][: self.least + 1 - len(entry)])
-
-    def batches(self) -> Iterator[pa.RecordBatch]:
-        for (lang, source), items in self.groups.items():
-            entries = list(items.values())
-            names = ["lang", "source", self.item, "n", "docs"]
-            columns = [
-                pa.repeat(pa.scalar(lang, pa.string()), len(entries)),
-                pa.repeat(pa.scalar(source, pa.string()), len(entries)),
-                pa.array(list(items), pa.binary() if self.item == "chunk" else pa.string()).cast(pa.string()),
-                pa.array([x[0] for x in entries], pa.int64()),
-                pa.array([x[1:] for x in entries], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-        self.groups, self.size = {}, 0
+def gathered(batches: Iterator[pa.RecordBatch], size: Callable[[pa.RecordBatch], int], most: int) -> Iterator[pa.Table]:
+    """Batches put together until their sizes reach ``most``."""
+    held, so_far = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            so_far += size(batch)
+        if so_far >= most:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, so_far = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def codes_of(column: pa.ChunkedArray) -> tuple[np.ndarray, pa.Array]:
+    """Small numbers for a column's values, and the values."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    coded = column.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
+def begins(*columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal rows begins."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([x[1:] != x[:-1] for x in columns])
+    return np.flatnonzero(new)
+
+
+def lists(values: pa.Array, offsets: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
+def numbered_chunks(data: np.ndarray, found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each different chunk, and an occurrence of each. Hashes only find candidates: all bytes are compared."""
+    _, first, number = np.unique(found.hashes, return_index=True, return_inverse=True)
+    example = first[number]
+    differ = found.lengths != found.lengths[example]
+    at = np.flatnonzero(~differ)
+    if len(at):
+        sizes = found.lengths[at]
+        same = data[spread(found.starts[at], sizes)] == data[spread(found.starts[example[at]], sizes)]
+        differ[at] = ~np.logical_and.reduceat(same, np.cumsum(sizes) - sizes)
+    others: dict[bytes, int] = {}
+    more = []
+    for i in np.flatnonzero(differ).tolist():  # another chunk of the same hash
+        chunk = data[found.starts[i] : found.starts[i] + found.lengths[i]].tobytes()
+        if chunk not in others:
+            others[chunk] = len(first) + len(more)
+            more.append(i)
+        number[i] = others[chunk]
+    return number, np.concatenate([first, np.array(more, np.int64)])
+
+
+CHUNKS = "lang string, chunk string, full boolean, docs array<bigint>, sources array<string>, numbers array<bigint>"
 
 
 def chunk_counts(docs: DataFrame, least: int) -> DataFrame:
-    """(lang, source, chunk, n, docs) of ``(lang, source, doc, text)`` rows, gathered per task."""
+    """Of ``(lang, source, doc, text)`` rows the chunks with a term in them: per language and chunk the occurrences by source, and the documents.
+
+    Chunks are counted per document, then gathered over the texts of a task. ``full`` tells that there are ``least`` documents or more; else
+    ``docs`` lists them.
+    """
+
+    def gather(table: pa.Table) -> pa.RecordBatch:
+        data, offsets = column_bytes(table.column("text"))
+        (lang, langs), (source, sources) = (codes_of(table.column(name)) for name in ("lang", "source"))
+        order = np.lexsort((source, lang))
+        rank = np.argsort(order)
+        lang, source, doc = lang[order], source[order], table.column("doc").to_numpy()[order]
+        found = words(data, offsets, CHUNK)
+        letters = np.concatenate([[0], np.cumsum(LETTER[data])])
+        use = letters[found.starts + found.lengths] > letters[found.starts]
+        row = rank[found.rows[use]]
+        found = Words(found.starts[use], found.lengths[use], found.hashes[use], found.first)
+        number, example = numbered_chunks(data, found)
+        pairs, times = np.unique(number * len(order) + row, return_counts=True)  # by chunk, language, source and document
+        chunk, row = pairs // len(order), pairs % len(order)
+        entry = begins(chunk, lang[row], source[row])
+        line = begins(chunk, lang[row])
+        if not len(pairs):
+            entry = line = np.zeros(0, np.int64)
+        sizes = np.diff(np.append(line, len(pairs)))
+        full = sizes >= least
+        listed = np.where(full, 0, sizes)
+        which = example[chunk[line]]
+        spelt = pa.Array.from_buffers(
+            pa.large_binary(), len(which),
+            [None, pa.py_buffer(np.concatenate([[0], np.cumsum(found.lengths[which])]).astype(np.int64)),
+             pa.py_buffer(data[spread(found.starts[which], found.lengths[which])].tobytes())],
+        )
+        numbers = np.add.reduceat(times, entry) if len(entry) else np.zeros(0, np.int64)
+        ends = np.searchsorted(entry, np.append(line, len(pairs)))
+        return pa.RecordBatch.from_arrays(
+            [
+                langs.take(pa.array(lang[row[line]])),
+                spelt.cast(pa.binary()).cast(pa.string()),
+                pa.array(full),
+                lists(pa.array(doc[row[spread(line, listed)]], pa.int64()), np.concatenate([[0], np.cumsum(listed)])),
+                lists(sources.take(pa.array(source[row[entry]])), ends),
+                lists(pa.array(numbers, pa.int64()), ends),
+            ],
+            names=["lang", "chunk", "full", "docs", "sources", "numbers"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Gathered(least, "chunk")
-        for batch in batches:
-            texts = batch.column("text").cast(pa.binary())
-            for i, group in enumerate(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), strict=True)):
-                doc = [batch.column("doc")[i].as_py()]
-                for chunk, number in Counter(texts[i].as_py().split()).items():
-                    held.add(group, chunk, number, doc)
-                if held.size > HELD:
-                    yield from held.batches()
-        yield from held.batches()
+        for table in gathered(pieces(batches, "text"), lambda batch: batch.column("text").nbytes, HELD_BYTES):
+            yield from _in_parts(gather(table))
 
-    return docs.mapInArrow(run, "lang string, source string, chunk string, n bigint, docs array<bigint>")
+    return docs.mapInArrow(run, CHUNKS)
 
 
-def gathered_terms(rows: DataFrame, least: int) -> DataFrame:
-    """(lang, source, term, n, docs) of ``(lang, source, terms, n, docs)`` rows, gathered per task."""
+TERMS = "lang string, term string, source string, n bigint, full boolean, docs array<bigint>"
+
+
+def chunk_terms(joined: DataFrame, least: int) -> DataFrame:
+    """Of chunks with their ``terms`` the terms' occurrences, a row per language, term and source, and their documents, a row without source.
+
+    Gathered over the chunks of a task: the shuffle brought all counts of a chunk together, and most terms have few chunks.
+    """
+
+    def gather(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        column = lambda name: table.column(name).combine_chunks()
+        lang, langs = codes_of(table.column("lang"))
+        sizes = column("terms").value_lengths().to_numpy()
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        if not len(row):
+            return
+        term, terms = codes_of(column("terms").flatten())
+        keys, item = np.unique(lang[row] * len(terms) + term, return_inverse=True)
+        key_lang, key_term = langs.take(pa.array(keys // len(terms))), terms.take(pa.array(keys % len(terms)))
+
+        counts = column("sources").value_lengths().to_numpy().astype(np.int64)
+        source, sources = codes_of(column("sources").flatten())
+        at = spread((np.cumsum(counts) - counts)[row], counts[row])
+        code = np.repeat(item, counts[row]) * len(sources) + source[at]
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        first = begins(code)
+        numbers = np.add.reduceat(column("numbers").flatten().to_numpy()[at[order]], first)
+        code = code[first]
+        where = pa.array(code // len(sources))
+        yield pa.RecordBatch.from_arrays(
+            [
+                key_lang.take(where), key_term.take(where), sources.take(pa.array(code % len(sources))), pa.array(numbers, pa.int64()),
+                pa.nulls(len(code), pa.bool_()), pa.nulls(len(code), pa.list_(pa.int64())),
+            ],
+            names=["lang", "term", "source", "n", "full", "docs"],
+        )
+
+        full = np.zeros(len(keys), bool)
+        full[item[column("full").to_numpy(zero_copy_only=False)[row]]] = True
+        counts = column("docs").value_lengths().to_numpy().astype(np.int64)
+        doc = column("docs").flatten().to_numpy()[spread((np.cumsum(counts) - counts)[row], counts[row])]
+        item = np.repeat(item, counts[row])
+        use = ~full[item]
+        item, doc = item[use], doc[use]
+        order = np.lexsort((doc, item))
+        item, doc = item[order], doc[order]
+        new = begins(item, doc) if len(item) else np.zeros(0, np.int64)
+        item, doc = item[new], doc[new]
+        sizes = np.bincount(item, minlength=len(keys))
+        full |= sizes >= least
+        use = ~full[item]
+        sizes[full] = 0
+        yield pa.RecordBatch.from_arrays(
+            [
+                key_lang, key_term, pa.nulls(len(keys), pa.string()), pa.array(np.zeros(len(keys), np.int64)), pa.array(full),
+                lists(pa.array(doc[use], pa.int64()), np.concatenate([[0], np.cumsum(sizes)])),
+            ],
+            names=["lang", "term", "source", "n", "full", "docs"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = Gathered(least, "term")
-        for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("lang", "source", "terms", "n", "docs")]
-            for lang, source, terms, number, docs in zip(*columns, strict=True):
-                for term in terms:
-                    held.add((lang, source), term, number, docs)
-            if held.size > HELD:
-                yield from held.batches()
-        yield from held.batches()
+        for table in gathered(batches, lambda batch: batch.num_rows, HELD):
+            for made in gather(table):
+                yield from _in_parts(made)
+
+    return joined.mapInArrow(run, TERMS)
 
-    return rows.mapInArrow(run, "lang string, source string, term string, n bigint, docs array<bigint>")
+
+def _in_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, HANDED_ON):
+        yield batch.slice(at, HANDED_ON)
 
 
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_docs: int = MIN_DOCS) -> DataFrame:
-    """Occurrences and documents of every term by language and source; documents are counted up to ``min_docs``.
+    """Occurrences by language and source of the terms in at least ``min_docs`` documents of the language.
 
-    Columns lang, source, term, n, n_docs. Runs a Spark job: the chunk counts are read twice and so written first.
+    Columns lang, term, source, n, and over the term's sources all_n and their number. Runs Spark jobs: chunk and term counts are read
+    twice and so written first.
     """
     plain = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
     rows = docs.select(
         plain(lang).alias("lang"), plain(source).alias("source"), F.monotonically_increasing_id().alias("doc"), plain(text).alias("text")
     )
-    chunks = materialize(chunk_counts(rows, min_docs).filter(F.col("chunk").rlike(TERM)), "chunks")
+    chunks = materialize(chunk_counts(rows, min_docs), "chunks")
     distinct = chunks.select("chunk").distinct()
     cut = distinct.withColumn("terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0)))
-    joined = chunks.join(cut, "chunk").select("lang", "source", "terms", "n", "docs")
-    full = F.size("docs") >= min_docs
+    terms = materialize(chunk_terms(chunks.join(cut, "chunk").drop("chunk"), min_docs), "terms")
     # A task hands on a term a few times at most, with fewer than min_docs documents or none: the lists are bounded by the tasks.
-    some = F.array_distinct(F.flatten(F.collect_list(F.when(~full, F.col("docs")))))
-    n_docs = F.when(F.max(full), min_docs).otherwise(F.least(F.size(some), F.lit(min_docs)))
-    return (
-        gathered_terms(joined, min_docs)
-        .groupBy("lang", "source", "term")
-        .agg(F.sum("n").alias("n"), n_docs.cast("bigint").alias("n_docs"))
+    some = F.size(F.array_distinct(F.flatten(F.collect_list("docs"))))
+    kept = (
+        terms.filter("source IS NULL")
+        .groupBy("lang", "term")
+        .agg((F.max("full") | (some >= min_docs)).alias("kept"))
+        .filter("kept")
+        .drop("kept")
+    )
+    counts = terms.filter("source IS NOT NULL").select("lang", "term", "source", "n").join(kept, ["lang", "term"])
+    of_term = W.partitionBy("lang", "term")
+    return counts.groupBy("lang", "term", "source").agg(F.sum("n").alias("n")).withColumns(
+        {"all_n": F.sum("n").over(of_term), "sources": F.count("*").over(of_term)}
     )
 
 
@@ -212,16 +337,9 @@ def divergence(
 
     Columns lang, source, part, item, value, rank.
     """
-    found = materialize(term_counts(docs, text, lang, source, min_docs), "terms")
+    counts = materialize(term_counts(docs, text, lang, source, min_docs), "kept")
     plain = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
     named = docs.select(plain(lang).alias("lang"), plain(source).alias("source")).distinct()
-    kept = (
-        found.groupBy("lang", "term")
-        .agg(F.sum("n_docs").alias("n_docs"), F.sum("n").alias("all_n"), F.count("*").alias("sources"))
-        .filter(F.col("n_docs") >= min_docs)
-        .drop("n_docs")
-    )
-    counts = materialize(found.drop("n_docs").join(kept, ["lang", "term"]), "kept")
     own = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     # Each term once, however many sources have it.
     langs = counts.groupBy("lang", "term").agg(F.first("all_n").alias("all_n")).groupBy("lang").agg(

@@ -2,10 +2,13 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tallycast.llm import divergence
+from tallycast.llm.text import column_bytes
 from tests.llm.helpers import SCHEMA, empty_documents, lowered, odd_documents
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -55,9 +58,9 @@ def made(spark, rng, n=120):
     return spark.createDataFrame(data, SCHEMA).repartition(5)
 
 
-@pytest.mark.parametrize("held,slice_,block,meetings", [(1 << 18, 1024, 1 << 16, 1 << 20), (5, 2, 30, 3)])
+@pytest.mark.parametrize("held,slice_,block,meetings", [(1 << 24, 1024, 1 << 16, 1 << 20), (5, 2, 30, 3)])
 def test_follows_the_definition(spark, held, slice_, block, meetings, monkeypatch):
-    for name, value in (("HELD", held), ("SLICE", slice_), ("BLOCK", block), ("MEETINGS", meetings)):
+    for name, value in (("HELD", held), ("HELD_BYTES", held), ("SLICE", slice_), ("BLOCK", block), ("MEETINGS", meetings)):
         monkeypatch.setattr(divergence, name, value)
     docs = made(spark, random.Random(held))
     want = brute([(r.lang, r.source, r.text) for r in docs.collect()], top=4)
@@ -67,8 +70,24 @@ def test_follows_the_definition(spark, held, slice_, block, meetings, monkeypatc
 
 def test_a_document_counts_once_for_a_term_of_several_chunks(spark):
     data = [(i, text, "en", "s", 0) for i, text in enumerate(["cat cat, (cat) Cat", "cat! dog. dog", "dog? cow", "cow"])]
-    found = divergence.term_counts(spark.createDataFrame(data, SCHEMA).repartition(3))
-    assert sorted((r.term, r.n, r.n_docs) for r in found.collect()) == [("cat", 5, 2), ("cow", 2, 2), ("dog", 3, 2)]
+    docs = spark.createDataFrame(data, SCHEMA).repartition(3)
+    found = divergence.term_counts(docs, min_docs=2)
+    assert sorted((r.term, r.n, r.all_n, r.sources) for r in found.collect()) == [("cat", 5, 5, 1), ("cow", 2, 2, 1), ("dog", 3, 3, 1)]
+    assert divergence.term_counts(docs, min_docs=3).count() == 0
+
+
+def test_chunks_of_one_hash_are_told_apart():
+    def colliding(data, offsets, kind):
+        found = divergence_words(data, offsets, kind)
+        found.hashes &= np.uint64(3)
+        return found
+
+    divergence_words = divergence.words
+    data, offsets = column_bytes(pa.array(["a bb a cc", "cc a b1 dd", "", "bb"]))
+    found = colliding(data, offsets, divergence.CHUNK)
+    number, example = divergence.numbered_chunks(data, found)
+    spelt = [data[s : s + n].tobytes() for s, n in zip(found.starts, found.lengths)]
+    assert [spelt[example[i]] for i in number] == spelt and len(example) == len(set(spelt))
 
 
 def test_large_counts_stay_exact(spark):
