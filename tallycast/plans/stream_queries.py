@@ -16,6 +16,7 @@ from tallycast.session import materialize, scratch_path
 from tallycast.sources.readers import decode_json, live_events, stream_files
 from tallycast.sources.writers import json_messages, write_messages
 from tallycast.streaming import jobs
+from tallycast.streaming.carried import CarriedRefit
 from tallycast.streaming.refit import LiveRefit
 from tallycast.streaming.sinks import latest_rows, read_batches, save_batches
 
@@ -24,26 +25,29 @@ ORACLES = {}
 
 
 BATCHES = 3  # micro-batches that a query's feed arrives in
+FILES = 2  # files of a micro-batch
 
 
 def fed(spark: SparkSession, rows: DataFrame, order: str, label: str) -> str:
-    """The rows written as one file per micro-batch, a range of ``order`` each, in that order."""
+    """The rows in one write as files of ascending ranges of ``order``, dated in that order, as files of a feed would be."""
     path = scratch_path(spark, label)
-    low, high = rows.agg(F.min(order), F.max(order)).first()
-    if low is None:
-        low = high = 0
-    width = (high - low) // BATCHES + 1
-    for i in range(BATCHES):
-        from_here, until = low + i * width, low + (i + 1) * width
-        share = rows.filter((F.col(order) >= from_here) & (F.col(order) < until))
-        share.coalesce(1).write.mode("append").parquet(path)
+    rows.repartitionByRange(BATCHES * FILES, order).write.parquet(path)
+    java = spark.sparkContext._jvm
+    place = java.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted((s.getPath() for s in system.listStatus(place) if s.getPath().getName().startswith("part-")), key=lambda x: x.getName())
+    for i, file in enumerate(files):
+        system.setTimes(file, FIRST_FILE + 1000 * i, -1)
     return path
 
 
+FIRST_FILE = 1_700_000_000_000  # when a feed's first file was written, in milliseconds
+
+
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     events = tables.table(spark, folder, "events")
     path = fed(spark, events, "event_id", "feed")
-    source = stream_files(spark, path, events.schema, "parquet", maxFilesPerTrigger="1")
+    source = stream_files(spark, path, events.schema, "parquet", maxFilesPerTrigger=str(FILES))
     return source.select(
         F.col("event_id").alias("arrival"), F.col("user_id").alias("entity"), F.col("event_type").alias("key"), "ts", "props"
     )
@@ -94,7 +98,7 @@ def stream_hourly_counts_late(spark: SparkSession, folder: str) -> DataFrame:
     """Hours of the raw feed, in which sign-ups carry times months away from their neighbours': all count."""
     raw = tables.raw_events(spark, folder).withColumn("_order", F.pmod(F.xxhash64("entity", "event_time"), F.lit(1000)))
     path = fed(spark, raw, "_order", "late-feed")
-    source = stream_files(spark, path, raw.schema, "parquet", maxFilesPerTrigger="1")
+    source = stream_files(spark, path, raw.schema, "parquet", maxFilesPerTrigger=str(FILES))
     stream = jobs.hourly_counts(cleaning.clean_events(source))
     return latest_rows(_drained(spark, stream, "update"), ["key", "hour_start"])
 
@@ -249,6 +253,38 @@ SELECT refit_arrival, refit_ts, key, CAST(s.step AS INTEGER) AS step, m.last_ts
 FROM models m CROSS JOIN steps s LEFT JOIN ahead a USING (refit_arrival, refit_ts, key, step) WHERE status <> 'insufficient'"""
 
 
+def _carried_models(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """Models of live refits from carried state; coefficients where they are well determined."""
+    path = scratch_path(spark, "carried")
+    live = CarriedRefit(f"{path}/state")
+    live.start(stream, f"{path}/checkpoint").awaitTermination()
+    ok = F.col("status") == "ok"
+    phi = [F.when(ok, F.round(F.col("phi")[i], 6) + F.lit(0.0)).alias(f"phi_{i + 1}") for i in range(5)]
+    return live.models(spark).select("refit_arrival", "refit_ts", "key", "n", "last_ts", "last_value", "status", *phi)
+
+
+def stream_carried_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Live refits of the full order that read closed blocks' sums instead of the history."""
+    return _carried_models(spark, event_stream(spark, folder))
+
+
+QUERIES["stream_carried_models"] = stream_carried_models
+ORACLES["stream_carried_models"] = ORACLES["refit_models"]
+
+
+def stream_carried_models_late(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where sign-ups arrive up to three days behind their time."""
+    behind = F.make_dt_interval(F.lit(0), F.when(F.col("key") == "signup", F.col("entity") % 72).otherwise(0).cast("int"))
+    stream = event_stream(spark, folder).withColumn("ts", F.col("ts") - behind)
+    return _carried_models(spark, stream)
+
+
+QUERIES["stream_carried_models_late"] = stream_carried_models_late
+_BEHIND_SQL = """ev AS (SELECT event_id AS arrival, user_id AS entity, event_type AS key,
+    ts - to_hours(CASE WHEN event_type = 'signup' THEN user_id % 72 ELSE 0 END) AS ts FROM events)"""
+ORACLES["stream_carried_models_late"] = ORACLES["refit_models"].replace(EVENTS_SQL, _BEHIND_SQL)
+
+
 def stream_live_path(spark: SparkSession, folder: str) -> DataFrame:
     """From JSON messages of three broker partitions to the forecasts of live refits, order 1."""
     wire = tables.events(spark, folder).select(
@@ -263,7 +299,7 @@ def stream_live_path(spark: SparkSession, folder: str) -> DataFrame:
         )).alias("value"),
     )
     path = fed(spark, wire, "arrival", "wire")
-    messages = stream_files(spark, path, wire.schema, "parquet", maxFilesPerTrigger="1").drop("arrival")
+    messages = stream_files(spark, path, wire.schema, "parquet", maxFilesPerTrigger=str(FILES)).drop("arrival")
     place = scratch_path(spark, "live-path")
     live = LiveRefit(f"{place}/tables", lags=1, publish="none", digits=4)
     live.start_messages(messages, f"{place}/checkpoint").awaitTermination()
