@@ -46,7 +46,7 @@ FREQUENT_LEAST = 32
 CROWD = 4096
 FEW = 48  # lists up to this size are compared together
 WORDS_AT_ONCE = 1 << 16
-PAIRS_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE = 1 << 16
 WIDE = 64  # letters; longer words are compared one by one
 LATIN = "ISO-8859-1"  # a byte for each letter, in the order of code points
 LETTERS = "A-Za-zÀ-ÿ"
@@ -261,34 +261,34 @@ def one_apart(a: bytes, b: bytes) -> bool:
     return a[first + (len(a) == len(b)) :] == b[first + 1 :]
 
 
-def verified(data: np.ndarray, offsets: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Which of the pairs of words are one apart; the left word of a pair is the shorter one if they differ in length."""
-    sizes = np.diff(offsets)
-    good = np.zeros(len(left), bool)
-    wide = sizes[right] > WIDE
-    for i in np.flatnonzero(wide).tolist():
-        a, b = (data[offsets[x] : offsets[x + 1]].tobytes() for x in (left[i], right[i]))
-        good[i] = one_apart(a, b)
-    narrow = np.flatnonzero(~wide)
-    if not len(narrow):
-        return good
-    width = int(sizes[right[narrow]].max()) + 1
-    short = np.flatnonzero(sizes < width)
-    row = np.full(len(sizes), -1)
-    row[short] = np.arange(len(short))
-    padded = np.zeros((len(short), width), np.uint8)
-    padded[np.repeat(np.arange(len(short)), sizes[short]), spread(np.zeros(len(short), np.int64), sizes[short])] = data[
-        spread(offsets[short], sizes[short])
-    ]
-    column = np.arange(width - 1)
-    for part in np.array_split(narrow, max(len(narrow) // PAIRS_AT_ONCE, 1)):
-        a, b = padded[row[left[part]]], padded[row[right[part]]]
+class Verifier:
+    """Compares pairs of a table's words; their letters are laid out side by side once."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
+        self.data, self.offsets, self.sizes = data, offsets, np.diff(offsets)
+        short = np.flatnonzero(self.sizes <= WIDE)
+        sizes = self.sizes[short]
+        self.padded = np.zeros((len(self.sizes), int(sizes.max(initial=0)) + 1), np.uint8)
+        self.padded[np.repeat(short, sizes), spread(np.zeros(len(short), np.int64), sizes)] = data[spread(offsets[short], sizes)]
+
+    def good(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Which pairs are one apart; the left word of a pair is the shorter one if they differ in length."""
+        good = np.zeros(len(left), bool)
+        wide = self.sizes[right] > WIDE
+        for i in np.flatnonzero(wide).tolist():
+            a, b = (self.data[self.offsets[x] : self.offsets[x + 1]].tobytes() for x in (left[i], right[i]))
+            good[i] = one_apart(a, b)
+        at = np.flatnonzero(~wide)
+        a, b = self.padded[left[at]], self.padded[right[at]]
         apart = a != b
-        same = sizes[left[part]] == sizes[right[part]]
-        first = apart.argmax(1)
-        moved = (a[:, :-1] != b[:, 1:]) & (column >= first[:, None]) & (column < sizes[left[part]][:, None])
-        good[part] = np.where(same, apart.sum(1) == 1, ~moved.any(1))
-    return good
+        same = self.sizes[left[at]] == self.sizes[right[at]]
+        good[at[same]] = apart[same].sum(1) == 1
+        longer = np.flatnonzero(~same)
+        if len(longer):
+            a, b, apart, column = a[longer], b[longer], apart[longer], np.arange(self.padded.shape[1] - 1)
+            moved = (a[:, :-1] != b[:, 1:]) & (column >= apart.argmax(1)[:, None]) & (column < self.sizes[left[at[longer]]][:, None])
+            good[at[longer]] = ~moved.any(1)
+        return good
 
 
 def met(keys: np.ndarray, sizes: np.ndarray, marks: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -344,12 +344,25 @@ def links(lists: DataFrame) -> DataFrame:
         data = data[spread(begin, sizes)]
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         marks = np.bitwise_or.reduceat(np.uint64(1) << ((data.astype(np.uint64) - np.uint64(97)) & np.uint64(63)), offsets[:-1])
-        found = [], []
+        verifier = Verifier(data, offsets)
+        found, held, waiting = [], [], 0
+
+        def settle() -> None:
+            if held:
+                i, j = np.concatenate(held, axis=1)
+                good = verifier.good(i, j)
+                found.append((i[good], j[good]))
+                held.clear()
+
         for i, j in met(keys, sizes, marks):
-            good = verified(data, offsets, i, j)
-            found[0].append(i[good])
-            found[1].append(j[good])
-        left, right = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
+            for low in range(0, len(i), PAIRS_AT_ONCE):
+                held.append((i[low : low + PAIRS_AT_ONCE], j[low : low + PAIRS_AT_ONCE]))
+                waiting += len(held[-1][0])
+                if waiting >= PAIRS_AT_ONCE:
+                    settle()
+                    waiting = 0
+        settle()
+        left, right = np.concatenate(found, axis=1) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         raw = data.tobytes()
         spelt = lambda rows: pa.array([raw[a:b] for a, b in zip(offsets[rows].tolist(), offsets[rows + 1].tolist(), strict=True)], pa.binary())
         return pa.RecordBatch.from_arrays(
