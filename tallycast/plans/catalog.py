@@ -4,9 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallycast.plans import event_queries, model_queries, series_queries, stream_queries
+from tallycast.plans import dated_queries, event_queries, model_queries, series_queries, stream_queries
 
-_MODULES = (event_queries, series_queries, model_queries, stream_queries)
+_MODULES = (event_queries, series_queries, model_queries, stream_queries, dated_queries)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}

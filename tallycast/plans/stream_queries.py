@@ -68,7 +68,7 @@ def message_stream(spark: SparkSession, folder: str) -> DataFrame:
     return cleaning.clean_events(live_events(messages))
 
 
-def _drained(spark: SparkSession, stream: DataFrame, mode: str, transform=None, schema=None) -> DataFrame:
+def drained(spark: SparkSession, stream: DataFrame, mode: str, transform=None, schema=None) -> DataFrame:
     """Run a stream over everything available and read back what its batches wrote."""
     path = scratch_path(spark, "stream")
     save_batches(stream, f"{path}/out", f"{path}/checkpoint", mode, transform).awaitTermination()
@@ -77,7 +77,7 @@ def _drained(spark: SparkSession, stream: DataFrame, mode: str, transform=None,
 
 def stream_running_totals(spark: SparkSession, folder: str) -> DataFrame:
     stream = jobs.running_totals(event_stream(spark, folder))
-    return latest_rows(_drained(spark, stream, "update"), ["key"])
+    return latest_rows(drained(spark, stream, "update"), ["key"])
 
 
 QUERIES["stream_running_totals"] = stream_running_totals
@@ -86,7 +86,7 @@ ORACLES["stream_running_totals"] = f"WITH {EVENTS_SQL} SELECT key, count(*) AS r
 
 def stream_hourly_counts(spark: SparkSession, folder: str) -> DataFrame:
     stream = jobs.hourly_counts(event_stream(spark, folder))
-    return latest_rows(_drained(spark, stream, "update"), ["key", "hour_start"])
+    return latest_rows(drained(spark, stream, "update"), ["key", "hour_start"])
 
 
 QUERIES["stream_hourly_counts"] = stream_hourly_counts
@@ -100,7 +100,7 @@ def stream_hourly_counts_late(spark: SparkSession, folder: str) -> DataFrame:
     path = fed(spark, raw, "_order", "late-feed")
     source = stream_files(spark, path, raw.schema, "parquet", maxFilesPerTrigger=str(FILES))
     stream = jobs.hourly_counts(cleaning.clean_events(source))
-    return latest_rows(_drained(spark, stream, "update"), ["key", "hour_start"])
+    return latest_rows(drained(spark, stream, "update"), ["key", "hour_start"])
 
 
 QUERIES["stream_hourly_counts_late"] = stream_hourly_counts_late
@@ -112,7 +112,7 @@ FROM parsed WHERE ts IS NOT NULL GROUP BY 1, 2"""
 def stream_json_messages(spark: SparkSession, folder: str) -> DataFrame:
     """Messages through the JSON sink and source: running totals of those whose time parses."""
     stream = jobs.running_totals(message_stream(spark, folder))
-    return latest_rows(_drained(spark, stream, "update"), ["key"])
+    return latest_rows(drained(spark, stream, "update"), ["key"])
 
 
 QUERIES["stream_json_messages"] = stream_json_messages
@@ -121,7 +121,7 @@ ORACLES["stream_json_messages"] = f"WITH {RAW_SQL} SELECT key, count(ts) AS runn
 
 def stream_latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
     messages = event_stream(spark, folder).select("key", "arrival", "entity", "ts")
-    return latest_rows(_drained(spark, jobs.latest_per_key(messages, offset="arrival"), "update"), ["key"])
+    return latest_rows(drained(spark, jobs.latest_per_key(messages, offset="arrival"), "update"), ["key"])
 
 
 QUERIES["stream_latest_per_key"] = stream_latest_per_key
@@ -138,7 +138,7 @@ def stream_entity_lookup(spark: SparkSession, folder: str) -> DataFrame:
         return lookup.entity_lookup(batch, known, small=small).select("arrival", "entity", "name")
 
     written = spark.createDataFrame([], "arrival bigint, entity bigint, name string").schema
-    return _drained(spark, stream, "append", look_up, written).drop("batch_id")
+    return drained(spark, stream, "append", look_up, written).drop("batch_id")
 
 
 QUERIES["stream_entity_lookup"] = stream_entity_lookup
@@ -156,7 +156,7 @@ def stream_verify(spark: SparkSession, folder: str) -> DataFrame:
         return checked.select("arrival", "entity", "key", "verdict")
 
     written = spark.createDataFrame([], "arrival bigint, entity bigint, key string, verdict string").schema
-    return _drained(spark, stream, "append", check, written).drop("batch_id")
+    return drained(spark, stream, "append", check, written).drop("batch_id")
 
 
 QUERIES["stream_verify"] = stream_verify

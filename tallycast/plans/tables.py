@@ -86,13 +86,26 @@ def references(spark: SparkSession, folder: str) -> DataFrame:
 def live_events(events: DataFrame, source: DataFrame, small: bool | None = None) -> DataFrame:
     """Events with their live embedding: clicks and views show the entity itself, purchases and
     sign-ups the face numbered in the event's properties, and in error events no face is found."""
+    return join_dimension(shown_faces(events), _live_vectors(source), "face", small=small)
+
+
+def shown_faces(events: DataFrame) -> DataFrame:
+    """Events with the number of the face that was shown."""
     own = F.col("key").isin("click", "view")
     other = F.col("key").isin("purchase", "signup")
     shown = F.when(own, F.col("entity")).when(other, F.get_json_object("props", "$.k").cast("bigint"))
-    vectors = reference_embeddings(source, "vec_id").withColumnsRenamed(
+    return events.withColumn("face", shown)
+
+
+def _live_vectors(source: DataFrame) -> DataFrame:
+    return reference_embeddings(source, "vec_id").withColumnsRenamed(
         {"entity": "face", "reference": "live", "reference_norm": "live_norm"}
     )
-    return join_dimension(events.withColumn("face", shown), vectors, "face", small=small)
+
+
+def faces(spark: SparkSession, folder: str) -> DataFrame:
+    """All live embeddings by face, with their norms."""
+    return _live_vectors(table(spark, folder, "embeddings"))
 
 
 FACES_SQL = """faces AS (SELECT event_id AS arrival, user_id AS entity, event_type AS key, CASE
