@@ -20,6 +20,7 @@ not read. Texts may be of any length: a task holds the chunks of one text, or of
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,11 +37,12 @@ SCALE = 1_000_000_000
 PRIOR = 1
 TOP_TERMS = 200
 HELD_BYTES = 1 << 24  # texts whose chunks a task gathers before it hands them on
-HELD = 1 << 17  # chunk counts whose terms a task gathers before it hands them on
-HANDED_ON = 1 << 15  # rows of a batch
+HELD = 1 << 16  # chunk counts whose terms a task gathers before it hands them on
+HANDED_ON = 1 << 14  # rows of a batch
 SLICE = 1024  # sources of a term that meet the others in one task
 BLOCK = 1 << 16  # counts that meet in one task, about
 MEETINGS = 1 << 20  # pairs of sources worked on at once
+TERM_BYTES = re.compile(rb"[A-Za-z\x80-\xff]+")
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 CHUNK = byte_class([b for b in range(256) if b not in b" \t\n\x0b\x0c\r"], lower=False)
 LETTER = np.array([b >= 128 or chr(b).isalpha() for b in range(256)])
@@ -101,55 +103,65 @@ def numbered_chunks(data: np.ndarray, found: Words) -> tuple[np.ndarray, np.ndar
     return number, np.concatenate([first, np.array(more, np.int64)])
 
 
-CHUNKS = "lang string, chunk string, full boolean, docs array<bigint>, sources array<string>, numbers array<bigint>"
+COUNT = np.dtype([("source", "<i8"), ("n", "<u4")])
+CHUNKS = "chunk string, lang bigint, docs binary, counts binary"
+
+
+def packed(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Slices of an array as binary values."""
+    return pa.Array.from_buffers(
+        pa.binary(), len(offsets) - 1, [None, pa.py_buffer((offsets * values.itemsize).astype(np.int32)), pa.py_buffer(values.tobytes())]
+    )
+
+
+def unpacked(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The values of packed slices in a row, and the size of each."""
+    data, offsets = column_bytes(column)
+    return np.frombuffer(data.tobytes(), kind), np.diff(offsets) // kind.itemsize
 
 
 def chunk_counts(docs: DataFrame, least: int) -> DataFrame:
-    """Of ``(lang, source, doc, text)`` rows the chunks with a term in them: per language and chunk the occurrences by source, and the documents.
+    """Of ``(lang, source, doc, text)`` rows the chunks with a letter: per language and chunk the occurrences by source, and the documents.
 
-    Chunks are counted per document, then gathered over the texts of a task. ``full`` tells that there are ``least`` documents or more; else
-    ``docs`` lists them.
+    Chunks are counted per document, then gathered over the texts of a task. ``counts`` packs a number for each source, ``docs`` the documents if
+    they are fewer than ``least``; else it is empty. ``lang`` and ``source`` are numbers.
     """
 
     def gather(table: pa.Table) -> pa.RecordBatch:
         data, offsets = column_bytes(table.column("text"))
-        (lang, langs), (source, sources) = (codes_of(table.column(name)) for name in ("lang", "source"))
+        lang, source, doc = (table.column(name).to_numpy() for name in ("lang", "source", "doc"))
         order = np.lexsort((source, lang))
         rank = np.argsort(order)
-        lang, source, doc = lang[order], source[order], table.column("doc").to_numpy()[order]
+        lang, source, doc = lang[order], source[order], doc[order]
         found = words(data, offsets, CHUNK)
-        letters = np.concatenate([[0], np.cumsum(LETTER[data])])
+        letters = np.concatenate([[0], np.cumsum(LETTER[data], dtype=np.int32)])
         use = letters[found.starts + found.lengths] > letters[found.starts]
+        del letters
         row = rank[found.rows[use]]
         found = Words(found.starts[use], found.lengths[use], found.hashes[use], found.first)
         number, example = numbered_chunks(data, found)
-        pairs, times = np.unique(number * len(order) + row, return_counts=True)  # by chunk, language, source and document
+        number *= len(order)
+        number += row
+        pairs, times = np.unique(number, return_counts=True)  # by chunk, language, source and document
+        del number, row
         chunk, row = pairs // len(order), pairs % len(order)
-        entry = begins(chunk, lang[row], source[row])
-        line = begins(chunk, lang[row])
-        if not len(pairs):
-            entry = line = np.zeros(0, np.int64)
+        line = begins(chunk, lang[row]) if len(pairs) else np.zeros(0, np.int64)
+        entry = begins(chunk, lang[row], source[row]) if len(pairs) else line
         sizes = np.diff(np.append(line, len(pairs)))
-        full = sizes >= least
-        listed = np.where(full, 0, sizes)
+        listed = np.where(sizes >= least, 0, sizes)
         which = example[chunk[line]]
-        spelt = pa.Array.from_buffers(
-            pa.large_binary(), len(which),
-            [None, pa.py_buffer(np.concatenate([[0], np.cumsum(found.lengths[which])]).astype(np.int64)),
-             pa.py_buffer(data[spread(found.starts[which], found.lengths[which])].tobytes())],
-        )
-        numbers = np.add.reduceat(times, entry) if len(entry) else np.zeros(0, np.int64)
-        ends = np.searchsorted(entry, np.append(line, len(pairs)))
+        counts = np.zeros(len(entry), COUNT)
+        counts["source"] = source[row[entry]]
+        counts["n"] = np.add.reduceat(times, entry) if len(entry) else 0
+        spelt = packed(data[spread(found.starts[which], found.lengths[which])], np.concatenate([[0], np.cumsum(found.lengths[which])]))
         return pa.RecordBatch.from_arrays(
             [
-                langs.take(pa.array(lang[row[line]])),
-                spelt.cast(pa.binary()).cast(pa.string()),
-                pa.array(full),
-                lists(pa.array(doc[row[spread(line, listed)]], pa.int64()), np.concatenate([[0], np.cumsum(listed)])),
-                lists(sources.take(pa.array(source[row[entry]])), ends),
-                lists(pa.array(numbers, pa.int64()), ends),
+                spelt.cast(pa.string()),
+                pa.array(lang[row[line]], pa.int64()),
+                packed(doc[row[spread(line, listed)]].astype("<i8"), np.concatenate([[0], np.cumsum(listed)])),
+                packed(counts, np.searchsorted(entry, np.append(line, len(pairs)))),
             ],
-            names=["lang", "chunk", "full", "docs", "sources", "numbers"],
+            names=["chunk", "lang", "docs", "counts"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,49 +171,54 @@ def chunk_counts(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(run, CHUNKS)
 
 
-TERMS = "lang string, term string, source string, n bigint, full boolean, docs array<bigint>"
+TERMS = "lang bigint, term string, source bigint, n bigint, full boolean, docs array<bigint>"
 
 
-def chunk_terms(joined: DataFrame, least: int) -> DataFrame:
-    """Of chunks with their ``terms`` the terms' occurrences, a row per language, term and source, and their documents, a row without source.
+def chunk_terms(chunks: DataFrame, least: int) -> DataFrame:
+    """The chunks' terms: their occurrences, a row per language, term and source, and their documents, a row without source.
 
-    Gathered over the chunks of a task: the shuffle brought all counts of a chunk together, and most terms have few chunks.
+    The shuffle brings all counts of a chunk together, in order; so each distinct chunk is cut into terms once, and these are joined back to its
+    counts and gathered with those of the task's other chunks.
     """
 
     def gather(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        column = lambda name: table.column(name).combine_chunks()
-        lang, langs = codes_of(table.column("lang"))
-        sizes = column("terms").value_lengths().to_numpy()
-        row = np.repeat(np.arange(len(sizes)), sizes)
+        table = table.combine_chunks()
+        coded, distinct = codes_of(table.column("chunk"))
+        cut = [TERM_BYTES.findall(chunk.encode().lower()) for chunk in distinct.to_pylist()]  # A-Z only, as these are bytes
+        sizes = np.array([len(x) for x in cut], np.int64)
+        term, terms = codes_of(pa.array([x for found in cut for x in found], pa.binary()).cast(pa.string()))
+        each = sizes[coded]
+        row = np.repeat(np.arange(len(each)), each)
         if not len(row):
             return
-        term, terms = codes_of(column("terms").flatten())
+        term = term[spread((np.cumsum(sizes) - sizes)[coded], each)]
+        lang, langs = codes_of(table.column("lang"))
         keys, item = np.unique(lang[row] * len(terms) + term, return_inverse=True)
         key_lang, key_term = langs.take(pa.array(keys // len(terms))), terms.take(pa.array(keys % len(terms)))
 
-        counts = column("sources").value_lengths().to_numpy().astype(np.int64)
-        source, sources = codes_of(column("sources").flatten())
-        at = spread((np.cumsum(counts) - counts)[row], counts[row])
-        code = np.repeat(item, counts[row]) * len(sources) + source[at]
+        counts, sizes = unpacked(table.column("counts"), COUNT)
+        at = spread((np.cumsum(sizes) - sizes)[row], sizes[row])
+        sources, source = np.unique(counts["source"], return_inverse=True)
+        code = np.repeat(item, sizes[row]) * len(sources) + source[at]
         order = np.argsort(code, kind="stable")
         code = code[order]
         first = begins(code)
-        numbers = np.add.reduceat(column("numbers").flatten().to_numpy()[at[order]], first)
+        numbers = np.add.reduceat(counts["n"][at[order]].astype(np.int64), first)
         code = code[first]
         where = pa.array(code // len(sources))
         yield pa.RecordBatch.from_arrays(
             [
-                key_lang.take(where), key_term.take(where), sources.take(pa.array(code % len(sources))), pa.array(numbers, pa.int64()),
+                key_lang.take(where), key_term.take(where), pa.array(sources[code % len(sources)]), pa.array(numbers),
                 pa.nulls(len(code), pa.bool_()), pa.nulls(len(code), pa.list_(pa.int64())),
             ],
             names=["lang", "term", "source", "n", "full", "docs"],
         )
 
+        docs, sizes = unpacked(table.column("docs"), np.dtype("<i8"))
         full = np.zeros(len(keys), bool)
-        full[item[column("full").to_numpy(zero_copy_only=False)[row]]] = True
-        counts = column("docs").value_lengths().to_numpy().astype(np.int64)
-        doc = column("docs").flatten().to_numpy()[spread((np.cumsum(counts) - counts)[row], counts[row])]
-        item = np.repeat(item, counts[row])
+        full[item[sizes[row] == 0]] = True
+        doc = docs[spread((np.cumsum(sizes) - sizes)[row], sizes[row])]
+        item = np.repeat(item, sizes[row])
         use = ~full[item]
         item, doc = item[use], doc[use]
         order = np.lexsort((doc, item))
@@ -214,18 +231,33 @@ def chunk_terms(joined: DataFrame, least: int) -> DataFrame:
         sizes[full] = 0
         yield pa.RecordBatch.from_arrays(
             [
-                key_lang, key_term, pa.nulls(len(keys), pa.string()), pa.array(np.zeros(len(keys), np.int64)), pa.array(full),
+                key_lang, key_term, pa.nulls(len(keys), pa.int64()), pa.array(np.zeros(len(keys), np.int64)), pa.array(full),
                 lists(pa.array(doc[use], pa.int64()), np.concatenate([[0], np.cumsum(sizes)])),
             ],
             names=["lang", "term", "source", "n", "full", "docs"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for table in gathered(batches, lambda batch: batch.num_rows, HELD):
-            for made in gather(table):
+            table = table if held is None else pa.concat_tables([held, table])
+            # The last chunk may go on in the next table.
+            chunk = table.column("chunk")
+            last = chunk[-1].as_py()
+            whole = table.num_rows
+            while whole and chunk[whole - 1].as_py() == last:
+                whole -= 1
+            if not whole and table.num_rows > HELD:  # very many counts of one chunk
+                whole = table.num_rows
+            held = table.slice(whole)
+            if whole:
+                for made in gather(table.slice(0, whole)):
+                    yield from _in_parts(made)
+        if held is not None and held.num_rows:
+            for made in gather(held):
                 yield from _in_parts(made)
 
-    return joined.mapInArrow(run, TERMS)
+    return chunks.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(run, TERMS)
 
 
 def _in_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -233,20 +265,35 @@ def _in_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, HANDED_ON)
 
 
+def numbered_groups(docs: DataFrame, lang: str, source: str) -> tuple[DataFrame, Column, Column]:
+    """The table's languages and sources with a number for each language and group, and these numbers as columns over the documents.
+
+    Numbers are hashes; a seed is taken under which no two of the table's share one.
+    """
+    plain = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
+    named = materialize(docs.select(plain(lang).alias("lang"), plain(source).alias("source")).distinct(), "groups")
+    seed = 0
+    while True:
+        number = lambda *columns: F.xxhash64(F.lit(seed), *columns)  # noqa: B023, E731
+        tried = named.withColumns({"lang_number": number(F.col("lang")), "number": number(F.col("lang"), F.col("source"))})
+        sizes = tried.agg(*(F.count_distinct(c) for c in ("lang", "lang_number", "number")), F.count("*")).first()
+        if sizes[0] == sizes[1] and sizes[2] == sizes[3]:
+            return tried, number(plain(lang)), number(plain(lang), plain(source))
+        seed += 1
+
+
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", min_docs: int = MIN_DOCS) -> DataFrame:
     """Occurrences by language and source of the terms in at least ``min_docs`` documents of the language.
 
-    Columns lang, term, source, n, and over the term's sources all_n and their number. Runs Spark jobs: chunk and term counts are read
+    Columns lang, term, source, n, and over the term's sources all_n and their number. Runs Spark jobs: groups and term counts are read
     twice and so written first.
     """
-    plain = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(""))
+    groups, lang_number, number = numbered_groups(docs, lang, source)
     rows = docs.select(
-        plain(lang).alias("lang"), plain(source).alias("source"), F.monotonically_increasing_id().alias("doc"), plain(text).alias("text")
+        lang_number.alias("lang"), number.alias("source"), F.monotonically_increasing_id().alias("doc"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
-    chunks = materialize(chunk_counts(rows, min_docs), "chunks")
-    distinct = chunks.select("chunk").distinct()
-    cut = distinct.withColumn("terms", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0)))
-    terms = materialize(chunk_terms(chunks.join(cut, "chunk").drop("chunk"), min_docs), "terms")
+    terms = materialize(chunk_terms(chunk_counts(rows, min_docs), min_docs), "terms")
     # A task hands on a term a few times at most, with fewer than min_docs documents or none: the lists are bounded by the tasks.
     some = F.size(F.array_distinct(F.flatten(F.collect_list("docs"))))
     kept = (
@@ -258,9 +305,15 @@ def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     )
     counts = terms.filter("source IS NOT NULL").select("lang", "term", "source", "n").join(kept, ["lang", "term"])
     of_term = W.partitionBy("lang", "term")
-    return counts.groupBy("lang", "term", "source").agg(F.sum("n").alias("n")).withColumns(
+    summed = counts.groupBy("lang", "term", "source").agg(F.sum("n").alias("n")).withColumns(
         {"all_n": F.sum("n").over(of_term), "sources": F.count("*").over(of_term)}
     )
+    return (
+        summed.withColumnRenamed("source", "number")
+        .drop("lang")
+        .join(groups.select("number", "lang", "source"), "number")
+        .select("lang", "term", "source", "n", "all_n", "sources")
+    )
 
 
 def _share(count: Column, total: Column, kinds: Column) -> Column:
