@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallycast.functions.times import TIME_FORMAT
 from tallycast.operators.lookup import first_per_entity, join_dimension, reference_embeddings
+from tallycast.session import ship
 
 # Key dimension: three of the event types take part, in this order.
 KEY_RANKS = [("click", 1, "Candidate 1"), ("purchase", 2, "Candidate 2"), ("view", 3, "Candidate 3")]
@@ -14,6 +15,7 @@ _KEY_VALUES = ", ".join(f"('{key}', {rank}, '{label}')" for key, rank, label in
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

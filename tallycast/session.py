@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import pathlib
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -33,6 +36,29 @@ def local_session(cpus: str | int = 8, app: str = "tallycast", **extra: str) ->
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per session, so that they need no installed copy and no shared working folder.
+
+    The registered queries do so; a job that uses the operators calls it once.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_tallycast_shipped", False):
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    # Executors fetch it from the shared folder.
+    java = spark.sparkContext._jvm
+    place = java.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tallycast-{uuid.uuid4().hex}.zip")
+    out = place.getFileSystem(context._jsc.hadoopConfiguration()).create(place, True)
+    out.write(bytearray(raw.getvalue()))
+    out.close()
+    context.addPyFile(place.toString())
+    context._tallycast_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``, or set on the context.
 
