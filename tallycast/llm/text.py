@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import SparkSession
 
+from tallycast.session import ship
+
 #: Rows that Spark hands to a Python worker at once; texts are long, and the default of 10 000 rows is tens of MB on either side.
 ARROW_ROWS = 2000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -68,7 +70,8 @@ class Words:
 
 
 def bound_arrow_batches(spark: SparkSession) -> None:
-    """Set the session's Arrow batches to ARROW_ROWS rows; the registered queries and stages do so, the operators leave it alone."""
+    """Set the session's Arrow batches to ARROW_ROWS rows and ship the package; the registered queries and stages do so, the operators leave it alone."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
