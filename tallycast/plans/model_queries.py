@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from tallycast import schemas
 from tallycast.functions.times import MINUTES_PER_DAY
 from tallycast.operators import autoregression as ar
-from tallycast.operators import lagsums, outlook, regression
+from tallycast.operators import features, lagsums, outlook, regression
 from tallycast.operators.series import last_seen
 from tallycast.operators.slots import cumulative_slots as cumulative_slots_of
 from tallycast.operators.slots import slot_time_series
 from tallycast.plans import tables
 from tallycast.plans.event_queries import SLOTS_SQL, cumulative_slots, slot_counts_all
 from tallycast.plans.series_queries import MINUTES_SQL, minute_series
-from tallycast.plans.sql_models import CV_SQL, OLS_SQL, ar_forecast_sql, ar_sql
+from tallycast.plans.sql_models import CV_SQL, OLS_SQL, ar_forecast_sql, ar_sql, linear_sql
 from tallycast.plans.tables import KEYS_SQL, SHIPMENTS_SQL
 from tallycast.session import materialize, scratch_path
 from tallycast.sources.readers import decode_json, read_table_csv
@@ -72,6 +72,39 @@ SELECT key, CAST(reg_param AS DOUBLE) AS reg_param, CAST(elastic_net_param AS DO
 QUALIFY row_number() OVER (PARTITION BY key ORDER BY cv.mean_rmse, grid) = 1"""
 
 
+def lr_features_best(spark: SparkSession, folder: str) -> DataFrame:
+    """The tuned model of hour and minute by the descent that takes any number of features."""
+    best = features.fit_features(cumulative_slots(spark, folder), ["hour", "minute"], "cumulative_votes", fold=fold_of_slot())
+    named = best.select(
+        "key", "reg_param", "elastic_net_param", "mean_rmse",
+        F.col("coefficients")[0].alias("hour_coef"), F.col("coefficients")[1].alias("minute_coef"), "intercept",
+    )
+    return rounded(named, ["mean_rmse", *_COEFS], 5)
+
+
+QUERIES["lr_features_best"] = lr_features_best
+ORACLES["lr_features_best"] = f"""WITH {SLOTS_SQL}, {FOLDED_SQL}, {CV_SQL}
+SELECT key, CAST(reg_param AS DOUBLE) AS reg_param, CAST(elastic_net_param AS DOUBLE) AS elastic_net_param,
+    {_round_sql(["mean_rmse", *_COEFS], 5)} FROM cv
+QUALIFY row_number() OVER (PARTITION BY key ORDER BY cv.mean_rmse, grid) = 1"""
+_PRICED = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+def lr_six_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices of line items explained by six columns, per return flag, without a penalty."""
+    rows = tables.table(spark, folder, "lineitem")
+    fold = F.pmod(F.col("l_orderkey"), F.lit(features.FOLDS))
+    models = features.fit_features(rows, _PRICED, "l_extendedprice", key="l_returnflag", fold=fold, strengths=[0.0], shares=[0.0])
+    coefficients = [F.col("coefficients")[i].alias(f"c{i + 1}") for i in range(len(_PRICED))]
+    named = models.select(F.col("l_returnflag").alias("key"), "n", *coefficients, "intercept", "status")
+    return rounded(named, [f"c{i + 1}" for i in range(len(_PRICED))] + ["intercept"], 4)
+
+
+QUERIES["lr_six_features"] = lr_six_features
+ORACLES["lr_six_features"] = f"""WITH {linear_sql("lineitem", "l_returnflag", _PRICED, "l_extendedprice")}
+SELECT l_returnflag AS key, n, {_round_sql([f"c{i + 1}" for i in range(len(_PRICED))] + ["intercept"], 4)}, 'ok' AS status FROM linear"""
+
+
 def score_slots(spark: SparkSession, folder: str) -> DataFrame:
     models = regression.fit_ols(cumulative_slots(spark, folder))
     return rounded(regression.score_slots(models, slot_counts_all(spark, folder)), ["scaled_votes"])

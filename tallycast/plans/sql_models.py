@@ -95,3 +95,26 @@ def ar_forecast_sql(by: str, lags: int, horizon: int, minutes: int = 1) -> str:
     UNION ALL
     SELECT {by}, step + 1, last_ts, value + {new}, {carried}, {new}{shift} FROM w WHERE step < {horizon}) SELECT * FROM w),
 ahead AS (SELECT {by}, step, last_ts + to_minutes(step * {minutes}) AS ts, value AS forecast FROM walk WHERE step > 0)"""
+
+
+def linear_sql(source: str, by: str, features: list[str], label: str) -> str:
+    """Relation ``linear(by, n, c1..cd, intercept)``: least squares of a relation's label on its features, by elimination on covariances."""
+    p, d = range(1, len(features) + 1), len(features)
+    column = dict(zip(p, features)) | {d + 1: label}
+    as_double = {i: f"CAST({c} AS DOUBLE)" for i, c in column.items()}
+    means = ", ".join(f"avg({as_double[i]}) AS mean_{i}" for i in column)
+    cells = ", ".join(f"covar_pop({as_double[i]}, {as_double[j]}) AS a0_{i}_{j}" for i in p for j in range(1, d + 2))
+    out = f"step0 AS (SELECT {by}, count(*) AS n, {means}, {cells} FROM {source} GROUP BY {by})"
+    for k in range(1, d):
+        cells = ", ".join(
+            f"a{k - 1}_{i}_{j} - a{k - 1}_{i}_{k} / a{k - 1}_{k}_{k} * a{k - 1}_{k}_{j} AS a{k}_{i}_{j}"
+            if i > k else f"a{k - 1}_{i}_{j} AS a{k}_{i}_{j}"
+            for i in p for j in range(1, d + 2)
+        )
+        out += f",\nstep{k} AS (SELECT *, {cells} FROM step{k - 1})"
+    relation = f"step{d - 1}"
+    for i in reversed(p):
+        known = "".join(f" - a{d - 1}_{i}_{j} * c{j}" for j in range(i + 1, d + 1))
+        out += f",\nback{i} AS (SELECT *, (a{d - 1}_{i}_{d + 1}{known}) / a{d - 1}_{i}_{i} AS c{i} FROM {relation})"
+        relation = f"back{i}"
+    return out + f",\nlinear AS (SELECT *, mean_{d + 1}{''.join(f' - c{i} * mean_{i}' for i in p)} AS intercept FROM {relation})"
