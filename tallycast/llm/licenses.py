@@ -3,7 +3,7 @@
 Rolling hashes of GRAM words of every document are joined with the positions of the same hashes in the templates. A match votes
 for the diagonal (document position less template position). A phrase stands at a place if its diagonal has all its votes. For
 longer templates, diagonals at most DRIFT apart are merged, which allows for words added or left out, and a merged span is accepted
-if it covers enough of the template's positions and isn't much longer than the template.
+if it covers enough of the template's positions and isn't much longer than the template, or if one of its diagonals covers enough alone.
 
 Words are runs of A-Z (lower-cased), a-z, 0-9 and any character beyond ASCII. Hashes that are in no template are dropped where they
 arise, as the join would do; the set of template hashes is bounded by the templates.
@@ -139,6 +139,7 @@ def scan(
         .agg(
             F.min("diagonal").alias("diagonal"),
             F.bit_count(F.bit_or("covered")).alias("covered"),
+            F.max(F.bit_count("covered")).alias("best"),
             F.min("begin").alias("begin"),
             F.max("end").alias("end"),
         )
@@ -146,7 +147,9 @@ def scan(
     )
     base = F.col("phrase") & (F.col("covered") == F.col("size"))
     length = F.col("end") - F.col("begin")
-    notice = ~F.col("phrase") & (F.col("share") >= COVERED) & (length <= 2 * (F.col("size") + GRAM))
+    # Words of the template beside a notice may lengthen its span; one diagonal that covers enough is the notice all the same.
+    fits = (length <= 2 * (F.col("size") + GRAM)) | (F.col("best") >= COVERED * F.col("size"))
+    notice = ~F.col("phrase") & (F.col("share") >= COVERED) & fits
     listed = lambda taken: F.concat_ws(",", F.sort_array(F.collect_set(F.when(taken, F.col("label")))))
     return (
         spans.groupBy("row", "key", "n_words")

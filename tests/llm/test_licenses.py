@@ -64,3 +64,10 @@ def test_own_templates(spark):
     docs = documents(spark, ["free as in beer and more", "x"])
     rows = licenses.scan(docs, phrases={"as in": "as"}, notices={"free as in beer": "beer"}).orderBy("doc_id").collect()
     assert [r.labels for r in rows] == ["as,beer", ""]
+
+
+def test_words_of_a_template_beside_its_notice_hide_nothing(spark):
+    texts = ["released under the mit license" + " mit license" * n for n in range(12)] + ["mit license " * 9]
+    rows = {r.doc_id: r for r in licenses.scan(documents(spark, texts)).collect()}
+    assert all(rows[i].labels == "mit,mit-notice" and rows[i].n_base == i + 1 for i in range(12))
+    assert rows[12].labels == "mit"
