@@ -30,10 +30,8 @@ from tallycast.streaming import manifest
 from tallycast.streaming.refit import MARK, PUBLISHED, TOTALS
 
 BLOCK_BITS = 10  # 1024 minutes
-PARTS = (
-    "key string, block bigint, epoch_minute bigint, n bigint, first_arrival bigint, last_arrival bigint, latest_ts timestamp_ntz, total bigint"
-)
-SUMS = f"key string, block bigint, {SUMMARY}"
+PARTS = "key string, epoch_minute bigint, n bigint, first_arrival bigint, last_arrival bigint, latest_ts timestamp_ntz, total bigint"
+SUMS = f"key string, block bigint, batch_id bigint, {SUMMARY}"
 CLOSED = -1  # the block number of the summary of all closed blocks
 
 
@@ -163,12 +161,10 @@ class CarriedRefit:
 
     def _parts(self, spark: SparkSession, state: dict[str, Any], blocks: list[int]) -> DataFrame:
         """The minutes of some blocks; nothing else is read."""
-        found = []
-        for block in blocks:
-            rows = self._read(spark, PARTS.replace("block bigint, ", ""), state["parts"][str(block)])
-            found.append(rows.withColumn("block", F.lit(block).cast("bigint")))
-        empty = spark.createDataFrame([], PARTS)
-        return reduce(DataFrame.unionByName, found, empty)
+        return self._minutes(spark, [path for block in blocks for path in state["parts"][str(block)]])
+
+    def _minutes(self, spark: SparkSession, paths: list[str]) -> DataFrame:
+        return self._read(spark, PARTS, paths).withColumn("block", F.shiftright("epoch_minute", self.bits))
 
     def _refit(self, spark: SparkSession, triggers: DataFrame, state: dict[str, Any], here: str) -> None:
         n = triggers.count()
@@ -179,11 +175,7 @@ class CarriedRefit:
         touched = self._parts(spark, state, [block for block in known if block >= boundary])
         late_pairs = None
         if marked:
-            each = [
-                self._read(spark, PARTS.replace("block bigint, ", ""), [path]).select("key", F.lit(int(path.rsplit("=", 1)[1])).cast("bigint").alias("block"))
-                for path in state["late"]
-            ]
-            late_pairs = materialize(reduce(DataFrame.unionByName, each).distinct(), "late")
+            late_pairs = materialize(self._minutes(spark, state["late"]).select(*pair).distinct(), "late")
             again = self._parts(spark, state, marked)
             touched = touched.unionByName(_semi(again, late_pairs, pair))
         pieces = place(touched.withColumn("arrival", F.col("last_arrival")), triggers).drop("arrival")
@@ -215,7 +207,9 @@ class CarriedRefit:
         until = known[-1]
         over = seen.filter((F.col("interval") == n) & (F.col("block") < until)).drop("interval")
         state["closed"] = [self._write(joined_summaries(base.unionByName(over), self.lags), f"{here}/closed")]
-        state["sums"] = (state["sums"] or []) + [self._write(over.select(*pair, *SUMMARY_NAMES), f"{here}/sums")]
+        state["sums"] = (state["sums"] or []) + [
+            self._write(over.withColumn("batch_id", F.lit(state["batch_id"]).cast("bigint")).select(*pair, "batch_id", *SUMMARY_NAMES), f"{here}/sums")
+        ]
         shut = [block for block in known if boundary <= block < until] + marked
         shut = [block for block in shut if len(state["parts"][str(block)]) > 1]
         if shut:  # one folder per closed block, so that the manifest grows with blocks and not with batches
@@ -225,11 +219,8 @@ class CarriedRefit:
 
     def _sums(self, spark: SparkSession, paths: list[str]) -> DataFrame:
         """The newest summary of each key and closed block."""
-        rows = [self._read(spark, SUMS, [path]).withColumn("_version", F.lit(i)) for i, path in enumerate(paths)]
-        if not rows:
-            return self._read(spark, SUMS, [])
-        newest = F.max_by(F.struct(*SUMMARY_NAMES), "_version").alias("_newest")
-        return reduce(DataFrame.unionByName, rows).groupBy("key", "block").agg(newest).select("key", "block", "_newest.*")
+        newest = F.max_by(F.struct(*SUMMARY_NAMES), "batch_id").alias("_newest")
+        return self._read(spark, SUMS, paths).groupBy("key", "block").agg(newest).select("key", "block", "_newest.*")
 
     def start(self, events: DataFrame, checkpoint: str, available_now: bool = True) -> StreamingQuery:
         writer = events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(self.process)
