@@ -36,7 +36,7 @@ MIN_DOCS = 3
 SCALE = 1_000_000_000
 PRIOR = 1
 TOP_TERMS = 200
-HELD_BYTES = 1 << 24  # texts whose chunks a task gathers before it hands them on
+HELD_BYTES = 1 << 23  # texts whose chunks a task gathers before it hands them on
 HELD = 1 << 16  # chunk counts whose terms a task gathers before it hands them on
 HANDED_ON = 1 << 14  # rows of a batch
 SLICE = 1024  # sources of a term that meet the others in one task
