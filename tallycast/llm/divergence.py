@@ -40,7 +40,7 @@ HELD_BYTES = 1 << 23  # texts whose chunks a task gathers before it hands them o
 HELD = 1 << 16  # chunk counts whose terms a task gathers before it hands them on
 HANDED_ON = 1 << 14  # rows of a batch
 SLICE = 1024  # sources of a term that meet the others in one task
-BLOCK = 1 << 16  # counts that meet in one task, about
+BLOCK = 1 << 13  # counts that meet in one task, about
 MEETINGS = 1 << 20  # pairs of sources worked on at once
 TERM_BYTES = re.compile(rb"[A-Za-z\x80-\xff]+")
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
