@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast import schemas
-from tallycast.functions.times import TIME_FORMAT
+from tallycast.functions.times import TIME_FORMAT, parse_time
 from tallycast.operators import autoregression as ar
 from tallycast.operators import cleaning, lookup, outlook, refit, triggers
 from tallycast.plans import tables
@@ -13,8 +13,8 @@ from tallycast.plans.series_queries import TRIGGERS_SQL
 from tallycast.plans.sql_models import ar_forecast_sql, ar_sql
 from tallycast.plans.tables import EVENTS_SQL, RAW_SQL
 from tallycast.session import materialize, scratch_path
-from tallycast.sources.readers import decode_json, live_events, stream_files
-from tallycast.sources.writers import json_messages, write_messages
+from tallycast.sources.readers import decode_json, live_events, stream_files, stream_topics
+from tallycast.sources.writers import json_messages, write_messages, write_topics
 from tallycast.streaming import jobs
 from tallycast.streaming.carried import CarriedRefit
 from tallycast.streaming.refit import LiveRefit
@@ -119,6 +119,23 @@ QUERIES["stream_json_messages"] = stream_json_messages
 ORACLES["stream_json_messages"] = f"WITH {RAW_SQL} SELECT key, count(ts) AS running_total FROM parsed GROUP BY key"
 
 
+def stream_several_topics(spark: SparkSession, folder: str) -> DataFrame:
+    """A topic per key, all read as one stream: messages and parsed ones of each topic."""
+    path = scratch_path(spark, "topics")
+    wire = tables.raw_events(spark, folder).select(
+        F.col("entity").cast("string").alias("Voter_id"), F.col("key").alias("Candidate_id"), F.col("event_time").alias("Vote_Time")
+    )
+    write_topics(json_messages(wire, "Candidate_id"), path, F.concat(F.lit("data_"), F.col("key")))
+    raw = live_events(stream_topics(spark, path, maxFilesPerTrigger="2"))
+    counted = raw.groupBy("topic").agg(F.count("*").alias("messages"), F.count(parse_time(F.col("event_time"))).alias("parsed"))
+    return latest_rows(drained(spark, counted, "update"), ["topic"])
+
+
+QUERIES["stream_several_topics"] = stream_several_topics
+ORACLES["stream_several_topics"] = f"""WITH {RAW_SQL}
+SELECT 'data_' || key AS topic, count(*) AS messages, count(ts) AS parsed FROM parsed GROUP BY key"""
+
+
 def stream_latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
     messages = event_stream(spark, folder).select("key", "arrival", "entity", "ts")
     return latest_rows(drained(spark, jobs.latest_per_key(messages, offset="arrival"), "update"), ["key"])

@@ -1,5 +1,7 @@
 """Batch and streaming sources, always with an explicit schema."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,6 +46,15 @@ def stream_files(spark: SparkSession, folder: str, schema: StructType, format: s
     return spark.readStream.schema(schema).options(**options).format(format).load(folder)
 
 
+def stream_topics(spark: SparkSession, folder: str, topics: Sequence[str] | None = None, **options: str) -> DataFrame:
+    """Messages ``(value, topic)`` of several topics as one stream, from a folder per topic; all of them, or those named.
+
+    Topics that appear later are read from then on, as with a subscription by pattern.
+    """
+    stream = stream_files(spark, folder, spark.createDataFrame([], "value string, topic string").schema, "text", **options)
+    return stream if topics is None else stream.filter(F.col("topic").isin(list(topics)))
+
+
 def stream_kafka(spark: SparkSession, servers: str, topics: str, pattern: bool = False, **options: str) -> DataFrame:
     """One topic, a list, or a topic pattern, from the earliest offset.
 

@@ -2,7 +2,7 @@
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,11 @@ def write_messages(messages: DataFrame, target: str, format: str = "text", **opt
         messages.select("value").write.format(format).mode("append").options(**options).save(target)
 
 
+def write_topics(messages: DataFrame, folder: str, topic: Column) -> None:
+    """Append ready messages to a folder per topic, one message per line: the file form of several topics."""
+    messages.select("value", topic.alias("topic")).write.mode("append").partitionBy("topic").text(folder)
+
+
 def save_models(models: DataFrame, folder: str, run: str) -> None:
     """Store the models of all keys of one run and their schema, replacing that run only."""
     models.write.mode("overwrite").parquet(f"{folder}/run={run}")

@@ -88,3 +88,21 @@ def test_kafka_is_only_a_format(spark):
 def test_events_as_messages_keep_their_count(spark):
     df = spark.range(5).select(F.col("id").cast("string").alias("key"), F.lit(1).alias("x"))
     assert writers.json_messages(df).count() == 5
+
+
+def test_topics_that_appear_later_are_read(spark, tmp_path):
+    folder, out = str(tmp_path / "topics"), str(tmp_path / "out")
+    send = lambda rows: writers.write_topics(spark.createDataFrame(rows, "key string, value string"), folder, F.concat(F.lit("data_"), F.col("key")))
+
+    def drain():
+        stream = readers.stream_topics(spark, folder)
+        stream.writeStream.format("parquet").option("checkpointLocation", out + "-cp").trigger(availableNow=True).start(out).awaitTermination()
+        return sorted((r.topic, r.value) for r in spark.read.parquet(out).collect())
+
+    send([("a", "1"), ("b", "2")])
+    assert drain() == [("data_a", "1"), ("data_b", "2")]
+    send([("c", "3"), ("a", "4")])
+    assert drain() == [("data_a", "1"), ("data_a", "4"), ("data_b", "2"), ("data_c", "3")]
+    some = readers.stream_topics(spark, folder, ["data_c"])
+    some.writeStream.format("memory").queryName("some_topics").trigger(availableNow=True).start().awaitTermination()
+    assert [r.value for r in spark.table("some_topics").collect()] == ["3"]
