@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 from tallycast.functions.times import MINUTES_PER_DAY, minute_start
 from tallycast.operators import quantiles, regression
 from tallycast.operators.buckets import Buckets
+from tallycast.operators.autoregression import LIVE_HORIZON
 from tallycast.operators.lookup import verify
 from tallycast.operators.slots import slot_counts
 from tallycast.operators.versions import in_force
 from tallycast.plans import tables
 from tallycast.plans.event_queries import ORACLES as EVENT_ORACLES
 from tallycast.plans.sql_models import OLS_SQL
-from tallycast.plans.stream_queries import drained, event_stream
-from tallycast.plans.tables import EVENTS_SQL
+from tallycast.plans.stream_queries import ORACLES as STREAM_ORACLES
+from tallycast.plans.stream_queries import drained, event_stream, refit_forecasts
+from tallycast.plans.tables import EVENTS_SQL, KEYS_SQL
 from tallycast.session import materialize, scratch_path
+from tallycast.streaming.winner import LiveWinner
 
 QUERIES = {}
 ORACLES = {}
@@ -127,3 +130,32 @@ def stream_verify_buckets(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES["stream_verify_buckets"] = stream_verify_buckets
 ORACLES["stream_verify_buckets"] = EVENT_ORACLES["verify_events"]
+
+
+WINNER_BATCHES = 8  # equal ranges of refits, a micro-batch each
+
+
+def winner_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes of the projected winner as refits' forecasts come in, in eight micro-batches."""
+    last = refit_forecasts(spark, folder).filter(F.col("step") == LIVE_HORIZON)
+    ahead = materialize(last.select("key", F.col("refit_arrival").alias("at"), "forecast"), "ahead")
+    low, high = ahead.agg(F.min("at"), F.max("at")).first()
+    live = LiveWinner(scratch_path(spark, "winner"), tables.key_dimension(spark))
+    if low is not None:
+        width = (high - low) // WINNER_BATCHES + 1
+        for i in range(WINNER_BATCHES):
+            live.process(ahead.filter((F.col("at") >= low + i * width) & (F.col("at") < low + (i + 1) * width)), i)
+    return live.changes(spark)
+
+
+QUERIES["winner_changes"] = winner_changes
+ORACLES["winner_changes"] = f"""WITH forecasts AS ({STREAM_ORACLES["refit_forecasts"]}),
+ahead AS (SELECT key, refit_arrival AS due, forecast FROM forecasts WHERE step = {LIVE_HORIZON}), {KEYS_SQL},
+ends AS (SELECT min(due) AS low, (max(due) - min(due)) // {WINNER_BATCHES} + 1 AS width FROM ahead),
+placed AS (SELECT key, rank, (due - low) // width AS batch_id, due, forecast FROM ahead JOIN keys USING (key), ends),
+batches AS (SELECT unnest(range({WINNER_BATCHES})) AS batch_id),
+latest AS (SELECT b.batch_id, p.key, any_value(rank) AS rank, arg_max(forecast, due) AS forecast
+    FROM batches b JOIN placed p ON p.batch_id <= b.batch_id GROUP BY 1, 2),
+led AS (SELECT batch_id, first(key ORDER BY forecast DESC, rank) AS key, max(forecast) AS forecast FROM latest GROUP BY 1),
+moved AS (SELECT *, lag(key) OVER (ORDER BY batch_id) AS previous FROM led)
+SELECT batch_id, key, CAST(trunc(forecast) AS BIGINT) AS votes, previous FROM moved WHERE previous IS DISTINCT FROM key"""
