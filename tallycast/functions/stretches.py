@@ -6,7 +6,8 @@ the second one's end: minutes between them repeat the total, so their difference
 """
 
 import sys
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, fields
 
 import numpy as np
 from pyspark import cloudpickle
@@ -69,6 +70,100 @@ def fold(parts: list[Stretch]) -> Stretch:
     return whole
 
 
+@dataclass
+class Stretches:
+    """Many stretches as columns, with as many lags each; zeros fill up heads at their end and tails at their start."""
+
+    n: np.ndarray
+    products: np.ndarray
+    head: np.ndarray
+    tail: np.ndarray
+    first_minute: np.ndarray
+    first_total: np.ndarray
+    last_minute: np.ndarray
+    last_total: np.ndarray
+
+    def take(self, at: np.ndarray) -> "Stretches":
+        return Stretches(*(getattr(self, f.name)[at] for f in fields(self)))
+
+
+Versions = tuple[np.ndarray, Stretches]  # ascending intervals, and the stretch from each of them on
+
+
+def stacked(parts: Sequence[Stretches]) -> Stretches:
+    return Stretches(*(np.concatenate([getattr(x, f.name) for x in parts]) for f in fields(Stretches)))
+
+
+def _end(own: np.ndarray, n: np.ndarray, at: np.ndarray, step: np.ndarray, other: np.ndarray, behind: np.ndarray) -> np.ndarray:
+    """From the outside in: a side's ``n`` differences, zeros but for the step ``at`` places on, and ``behind`` places on the other side's."""
+    place = np.arange(own.shape[1]) - n[:, None]
+    further = place - behind[:, None]
+    reached = np.take_along_axis(other, np.clip(further, 0, None), 1)
+    between = np.where(place == at[:, None], step[:, None], 0.0)
+    return np.where(place < 0, own, np.where(further < 0, between, reached))
+
+
+def join_all(a: Stretches, b: Stretches) -> Stretches:
+    """``join`` of each stretch of ``a`` with that of ``b`` in its place."""
+    lags = a.head.shape[1]
+    gap, step = b.first_minute - a.last_minute, b.first_total - a.last_total
+    back = a.tail[:, ::-1]
+    products = a.products + b.products
+    products[:, 0] += step * step
+    for h in range(1, lags + 1):
+        products[:, h] += step * b.head[:, h - 1]
+        for near in range(1, h + 1):
+            across = step * back[:, h - near]
+            for k in range(h - near):
+                across += back[:, k] * b.head[:, h - 1 - near - k]
+            products[:, h] += np.where(gap == near, across, 0.0)
+    return Stretches(
+        a.n + gap + b.n, products, _end(a.head, a.n, gap - 1, step, b.head, gap),
+        _end(b.tail[:, ::-1], b.n, np.zeros_like(gap), step, back, gap)[:, ::-1],
+        a.first_minute, a.first_total, b.last_minute, b.last_total,
+    )
+
+
+def _joined(a: Versions, b: Versions) -> Versions:
+    """The versions of the stretch over both: one wherever either side has one."""
+    at = np.union1d(a[0], b[0])
+    i, j = np.searchsorted(a[0], at, "right") - 1, np.searchsorted(b[0], at, "right") - 1
+    both = (i >= 0) & (j >= 0)
+    parts = [a[1].take(i[j < 0]), b[1].take(j[i < 0]), join_all(a[1].take(i[both]), b[1].take(j[both]))]
+    order = np.argsort(np.concatenate([at[j < 0], at[i < 0], at[both]]))
+    return at, stacked(parts).take(order)
+
+
+def fold_versions(parts: list[Versions]) -> Versions:
+    """``fold`` at every interval; a version costs as many joins as the parts can be halved."""
+    while len(parts) > 1:
+        parts = [_joined(*parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+def versions_of(interval: np.ndarray, minute: np.ndarray, total: np.ndarray, lags: int) -> Versions:
+    """A series' versions from its minutes' totals, which hold from their interval on; rows by interval."""
+    start = int(minute.min())
+    at = minute - start
+    known, held = np.zeros(int(at.max()) + 1, bool), np.zeros(int(at.max()) + 1)
+    begin = np.flatnonzero(np.diff(interval, prepend=interval[0] - 1))
+    size = len(begin)
+    products, head, tail = np.zeros((size, lags + 1)), np.zeros((size, lags)), np.zeros((size, lags))
+    ends, totals = np.zeros((size, 2), np.int64), np.zeros((size, 2))
+    for i, (lo, hi) in enumerate(zip(begin, [*begin[1:], len(at)])):
+        known[at[lo:hi]], held[at[lo:hi]] = True, total[lo:hi]
+        points = np.flatnonzero(known)
+        values = held[points]
+        d = np.zeros(points[-1] - points[0])
+        d[points[1:] - points[0] - 1] = np.diff(values)
+        products[i] = _of_differences(d, lags)
+        few = min(len(d), lags)
+        head[i, :few], tail[i, lags - few :] = d[:few], d[len(d) - few :]
+        ends[i], totals[i] = points[[0, -1]], values[[0, -1]]
+    first, last = ends[:, 0] + start, ends[:, 1] + start
+    return interval[begin], Stretches(last - first, products, head, tail, first, totals[:, 0], last, totals[:, 1])
+
+
 def _cut(x: Stretch, h: int, first: int, last: int) -> float:
     """The sum of products h apart without the ``first`` earliest and ``last`` latest of them."""
     head, tail = x.head, x.tail

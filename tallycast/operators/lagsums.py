@@ -3,10 +3,11 @@
 A summary is a row of SUMMARY columns (see ``functions.stretches``). Spark sums the products; per key, or per key and block, one row is left.
 """
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -78,6 +79,65 @@ def stretch_of(row, lags: int) -> stretches.Stretch:
     )
 
 
+def stretches_of(columns: dict[str, pa.Array], lags: int) -> stretches.Stretches:
+    """SUMMARY columns without missing values as stretches."""
+    plain = {name: column.to_numpy(zero_copy_only=False) for name, column in columns.items() if not pa.types.is_list(column.type)}
+    rows, place = len(plain["n"]), np.arange(lags)
+    held = np.minimum(plain["n"], lags)[:, None]
+    ends = {"head": place < held, "tail": place >= lags - held}
+    for name, where in ends.items():
+        plain[name] = np.zeros((rows, lags))
+        plain[name][where] = columns[name].flatten().to_numpy()
+    plain["products"] = columns["products"].flatten().to_numpy().reshape(rows, lags + 1)
+    return stretches.Stretches(**{name: plain[name] for name in SUMMARY_NAMES})
+
+
+def summary_arrays(found: stretches.Stretches) -> list[pa.Array]:
+    """Stretches as SUMMARY columns."""
+    lags = found.head.shape[1]
+    held, place = np.minimum(found.n, lags), np.arange(lags)
+    lists = {
+        "products": (np.full(len(held), lags + 1), found.products.ravel()),
+        "head": (held, found.head[place < held[:, None]]),
+        "tail": (held, found.tail[place >= lags - held[:, None]]),
+    }
+    out = []
+    for name in SUMMARY_NAMES:
+        if name in lists:
+            sizes, values = lists[name]
+            out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(values, pa.float64())))
+        else:
+            out.append(pa.array(getattr(found, name)))
+    return out
+
+
+def map_versions(gathered: DataFrame, fold: Callable[[dict[str, pa.Array]], stretches.Versions], by: Sequence[str]) -> DataFrame:
+    """``(*by, interval, SUMMARY)``: each row's ``parts``, a list of structs, as the versions that ``fold`` makes of the structs' columns."""
+    kinds = {f.name: f.dataType.simpleString() for f in gathered.schema.fields}
+    fields = gathered.schema["parts"].dataType.elementType.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, of_row, parts = [], [], batch.column("parts")
+            for i in range(len(parts)):
+                found.append(fold(dict(zip(fields, parts[i].values.flatten()))))
+                of_row.append(np.full(len(found[-1][0]), i))
+            if not found:
+                continue
+            same = pa.array(np.concatenate(of_row))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(name).take(same) for name in by),
+                    pa.array(np.concatenate([at for at, _ in found])),
+                    *summary_arrays(stretches.stacked([x for _, x in found])),
+                ],
+                names=[*by, "interval", *SUMMARY_NAMES],
+            )
+
+    keys = ", ".join(f"`{name}` {kinds[name]}" for name in by)
+    return gathered.mapInArrow(run, f"{keys}, interval bigint, {SUMMARY}")
+
+
 def fit_conditional(wholes: list[stretches.Stretch], lags: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Coefficients, status and usable rows by conditional least squares, as ``autoregression.fit`` gives them."""
     gram, target, rows = np.zeros((len(wholes), lags, lags)), np.zeros((len(wholes), lags)), np.zeros(len(wholes), int)

@@ -6,13 +6,15 @@ key and minute, split where a trigger falls into the minute, with the running to
 event. Later parts of a minute hold later arrivals. Every snapshot is a union of whole parts, so events are read once and never again.
 """
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallycast.functions import stretches
 from tallycast.functions.times import minute_start
 from tallycast.operators import autoregression as ar
-from tallycast.operators.lagsums import chronological, product_terms
+from tallycast.operators.lagsums import map_versions
 from tallycast.operators.series import fill_minutes, minute_totals
 from tallycast.operators.triggers import every_interval, numbered, place
 from tallycast.session import materialize
@@ -116,58 +118,26 @@ def _snapshot_series(parts: DataFrame, final: DataFrame, n: int, lags: int) -> D
     return values.withColumn("total", total).filter(F.col("total").isNotNull())
 
 
-def _final_summaries(parts: DataFrame, lags: int) -> DataFrame:
-    """The whole history's series with, at each minute, the summary of the series up to it."""
-    totals = parts.groupBy("key", "epoch_minute").agg(F.max_by("total", F.struct("latest_ts", "last_arrival")).alias("total"))
-    upto_here = W.partitionBy("key").orderBy("epoch_minute").rowsBetween(W.unboundedPreceding, W.currentRow)
-    features = ar.lag_features(fill_minutes(totals), ts="epoch_minute", lags=lags).withColumns(
-        {"_first": F.first("epoch_minute").over(upto_here), "_start": F.first("total").over(upto_here)}
-    )
-    place = F.col("epoch_minute") - F.col("_first")
-    heads = {f"h_{i}": F.max(F.when(place == i, F.col("d").cast("double"))).over(upto_here) for i in range(1, lags + 1)}
-    running = {name: F.sum(term).over(upto_here) for name, term in product_terms(lags).items()}
-    return features.select(
-        F.col("key").alias("_key"),
-        F.col("epoch_minute").alias("_minute"),
-        F.col("total").alias("_final"),
-        F.struct(*[c.alias(name) for name, c in (running | heads).items()], "_first", "_start").alias("_sums"),
-    )
-
+def refit_summaries(parts: DataFrame, lags: int = ar.LAGS) -> DataFrame:
+    """The summaries of each series as refits saw it, ``(key, interval, SUMMARY)``, exact for events in any order.
 
-def refit_summaries(parts: DataFrame, n: int, lags: int = ar.LAGS) -> DataFrame:
-    """The summary of the series each refit saw, ``(interval, key, SUMMARY)``, exact for events in any order.
-
-    Shares the settled minutes' sums between refits, as ``refit_equations`` does.
+    A row holds from its interval to the series' next row: there is one where a part came, and none for refits without news. A row costs the
+    series' minutes, so long series are passed in blocks, the block a field of the key. A key's parts meet in one task.
     """
-    series = _snapshot_series(parts, _final_summaries(parts, lags), n, lags)
-    at_settled = F.col("epoch_minute") == F.col("settled") - 1
-    is_settled = F.col("epoch_minute") < F.col("settled")
-    seen = W.partitionBy(*REFIT)
-    first = F.coalesce(F.max(F.when(at_settled, F.col("_sums._first"))).over(seen), F.min("epoch_minute").over(seen))
-    features = ar.lag_features(series, REFIT, "epoch_minute", lags=lags).withColumn("_begin", first)
-    sums = [
-        F.sum(F.when(at_settled, F.col("_sums")[name]).when(~is_settled, term).otherwise(0)).alias(name)
-        for name, term in product_terms(lags).items()
-    ]
-    d = F.col("d").cast("double")
-    own = lambda i: F.max(F.when(~is_settled & (F.col("epoch_minute") - F.col("_begin") == i), d))
-    heads = [F.coalesce(F.max(F.when(at_settled, F.col("_sums")[f"h_{i}"])), own(i)) for i in range(1, lags + 1)]
-    start = F.coalesce(F.max(F.when(at_settled, F.col("_sums._start"))), F.min_by("total", "epoch_minute"))
-    last = F.struct("epoch_minute", F.col("total").cast("double").alias("total"), chronological(lags).alias("tail"))
-    return (
-        features.groupBy(*REFIT)
-        .agg(
-            *sums,
-            F.array_compact(F.array(*heads)).alias("head"),
-            F.min("_begin").alias("first_minute"),
-            start.cast("double").alias("first_total"),
-            F.max_by(last, F.col("epoch_minute")).alias("_last"),
-        )
-        .select(
-            *REFIT, "n", F.array(*(f"p_{h}" for h in range(lags + 1))).alias("products"), "head", "_last.tail", "first_minute",
-            "first_total", F.col("_last.epoch_minute").alias("last_minute"), F.col("_last.total").alias("last_total"),
-        )
+    newest = F.struct("latest_ts", "last_arrival", "total")
+    upto_here = W.partitionBy("key", "epoch_minute").orderBy("interval").rowsBetween(W.unboundedPreceding, W.currentRow)
+    changes = (
+        parts.repartition("key")  # the one shuffle: what follows is by key and more
+        .groupBy("key", "epoch_minute", "interval")
+        .agg(F.max(newest).alias("_newest"))
+        .withColumn("total", F.max("_newest").over(upto_here)["total"].cast("double"))
     )
+    gathered = changes.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("interval", "epoch_minute", "total"))).alias("parts"))
+
+    def fold(x: dict[str, pa.Array]) -> stretches.Versions:
+        return stretches.versions_of(*(x[name].to_numpy() for name in ("interval", "epoch_minute", "total")), lags)
+
+    return map_versions(gathered, fold, ["key"])
 
 
 def refit_models(parts: DataFrame, triggers: DataFrame, lags: int = ar.LAGS) -> DataFrame:

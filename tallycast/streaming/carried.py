@@ -15,6 +15,7 @@ from typing import Any
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,7 +33,7 @@ from tallycast.streaming.refit import MARK, PUBLISHED, TOTALS
 BLOCK_BITS = 10  # 1024 minutes
 PARTS = "key string, epoch_minute bigint, n bigint, first_arrival bigint, last_arrival bigint, latest_ts timestamp_ntz, total bigint"
 SUMS = f"key string, block bigint, batch_id bigint, {SUMMARY}"
-CLOSED = -1  # the block number of the summary of all closed blocks
+FAN_BITS = 5  # 32 blocks are joined to a wider one
 
 
 def _gathered(rows: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -44,14 +45,39 @@ def _wholes(column: pa.Array, lags: int) -> list[stretches.Stretch]:
     return [stretches.fold([lagsums.stretch_of(part, lags) for part in parts]) for parts in column.to_pylist()]
 
 
-def joined_models(rows: DataFrame, by: Sequence[str], lags: int, exact: bool = False) -> DataFrame:
-    """A model per series from its summaries: ``(*by, n, last_ts, last_value, tail, phi, status)``."""
-    gathered = _gathered(rows, by)
-    kinds = {f.name: f.dataType.simpleString() for f in gathered.schema.fields}
+def joined_versions(rows: DataFrame, first: int, last: int, lags: int) -> DataFrame:
+    """Whole series, ``(key, interval, SUMMARY)``, from the versions of their blocks ``first`` to ``last``: one wherever a block has one.
+
+    Neighbouring blocks are joined to wider ones until one is left, so a block's version costs the joins on its way up and not
+    one with every other block.
+    """
+    names = ["block", "interval", *SUMMARY_NAMES]
+    rows = rows.select("key", (F.col("block") - first).alias("block"), *names[1:])
+
+    def fold(x: dict[str, pa.Array]) -> stretches.Versions:
+        block, interval = x.pop("block").to_numpy(), x.pop("interval").to_numpy()
+        found = lagsums.stretches_of(x, lags)
+        begin = np.flatnonzero(np.diff(block, prepend=block[0] - 1))
+        return stretches.fold_versions([(interval[i:j], found.take(slice(i, j))) for i, j in zip(begin, [*begin[1:], len(block)])])
+
+    width = last - first
+    while width:
+        wider = rows.withColumn("wide", F.shiftright("block", FAN_BITS)).groupBy("key", "wide")
+        gathered = wider.agg(F.sort_array(F.collect_list(F.struct(*names))).alias("parts"))
+        rows = lagsums.map_versions(gathered, fold, ["key", "wide"]).withColumnRenamed("wide", "block")
+        width >>= FAN_BITS
+    return rows.drop("block")
+
+
+def version_models(rows: DataFrame, n: int, lags: int, exact: bool = False) -> DataFrame:
+    """A model per version of a series, for the refits ``interval`` to ``until`` (of ``n``) that saw it:
+    ``(key, interval, until, n, last_ts, last_value, tail, phi, status)``."""
+    until = F.coalesce(F.lead("interval").over(W.partitionBy("key").orderBy("interval")) - 1, F.lit(n - 1).cast("bigint"))
+    by = ["key", "interval", "until"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wholes = _wholes(batch.column("parts"), lags)
+            wholes = [lagsums.stretch_of(row, lags) for row in batch.select(SUMMARY_NAMES).to_pylist()]
             if exact:
                 found = lagsums.exact_models(wholes, lags)
                 phi, status, n = found["phi"], found["status"], found["n"]
@@ -70,9 +96,10 @@ def joined_models(rows: DataFrame, by: Sequence[str], lags: int, exact: bool = F
                 names=[*by, "n", "last_minute", "last_value", "tail", "phi", "status"],
             )
 
-    keys = ", ".join(f"`{name}` {kinds[name]}" for name in by)
-    models = gathered.mapInArrow(
-        run, f"{keys}, n bigint, last_minute bigint, last_value double, tail array<double>, phi array<double>, status string"
+    models = rows.withColumn("until", until).repartition("key", "interval").mapInArrow(
+        run,
+        "key string, interval bigint, until bigint, n bigint, last_minute bigint, last_value double, tail array<double>, phi array<double>, "
+        "status string",
     )
     return models.withColumn("last_ts", minute_start(F.col("last_minute"))).drop("last_minute")
 
@@ -106,7 +133,10 @@ class CarriedRefit:
         self.folder, self.lags, self.horizon, self.digits, self.exact, self.bits = folder, lags, horizon, digits, exact, bits
 
     def _write(self, df: DataFrame, path: str, *partitions: str) -> str:
-        df.write.partitionBy(*partitions).parquet(path) if partitions else df.write.parquet(path)
+        if partitions:  # ranges, so that a folder gets files of few tasks and a large one is still shared out
+            df.repartitionByRange(*partitions, "key", "epoch_minute").write.partitionBy(*partitions).parquet(path)
+        else:
+            df.write.parquet(path)
         return path
 
     def _read(self, spark: SparkSession, schema: str, paths: list[str]) -> DataFrame:
@@ -180,11 +210,11 @@ class CarriedRefit:
             touched = touched.unionByName(_semi(again, late_pairs, pair))
         pieces = place(touched.withColumn("arrival", F.col("last_arrival")), triggers).drop("arrival")
         pieces = materialize(pieces.withColumn("key", F.struct("key", "block")).drop("block"), "pieces")
-        # Interval n, behind the last trigger, is the state at the batch's end.
-        seen = refit_summaries(pieces, n + 1, self.lags).select("interval", F.col("key.key").alias("key"), F.col("key.block").alias("block"), *SUMMARY_NAMES)
+        seen = refit_summaries(pieces, self.lags).select(F.col("key.key").alias("key"), F.col("key.block").alias("block"), "interval", *SUMMARY_NAMES)
         seen = materialize(seen, "seen")
 
-        closed = self._read(spark, f"key string, {SUMMARY}", state["closed"] or []).withColumn("block", F.lit(CLOSED).cast("bigint"))
+        # The closed blocks' summary takes the place of the last of them.
+        closed = self._read(spark, f"key string, {SUMMARY}", state["closed"] or []).withColumn("block", F.lit(boundary - 1).cast("bigint"))
         base = closed
         if late_pairs is not None:
             # Keys with late events: their block summaries one by one, without the marked ones, which were worked out again.
@@ -193,19 +223,25 @@ class CarriedRefit:
             own = _anti(_semi(sums, late_keys, ["key"]), late_pairs, pair)
             base = _anti(closed, late_keys, ["key"]).unionByName(own)
         base = materialize(base.select(*pair, *SUMMARY_NAMES), "base")
-        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-        rows = base.withColumn("interval", every).unionByName(seen.filter(F.col("interval") < n))
+        # Interval n, behind the last trigger, is the state at the batch's end, which no refit saw.
+        rows = base.withColumn("interval", F.lit(0).cast("bigint")).unionByName(seen.filter(F.col("interval") < n))
+        wholes = joined_versions(rows, (known[0] if marked else boundary) - 1, known[-1], self.lags)
+        models = materialize(version_models(wholes, n, self.lags, self.exact), "models")
         refits = numbered(triggers).select("interval", F.col("arrival").alias("refit_arrival"), F.col("ts").alias("refit_ts"))
-        models = joined_models(rows, ["interval", "key"], self.lags, self.exact).join(refits, "interval")
-        ahead = ar.forecast(models, self.horizon, ["refit_arrival", "refit_ts", "key"])
+
+        def at_refits(found: DataFrame) -> DataFrame:
+            return found.withColumn("interval", F.explode(F.sequence("interval", "until"))).drop("until").join(refits, "interval").drop("interval")
+
+        ahead = at_refits(ar.forecast(models, self.horizon, ["interval", "until", "key"]))
         if self.digits is not None:
             ahead = ahead.withColumn("forecast", F.round("forecast", self.digits) + F.lit(0.0))
         state["forecasts"] = [self._write(ahead, f"{here}/forecasts")]
-        state["models"] = [self._write(models, f"{here}/models")]
+        state["models"] = [self._write(at_refits(models), f"{here}/models")]
 
         # Close what lies before the newest block.
         until = known[-1]
-        over = seen.filter((F.col("interval") == n) & (F.col("block") < until)).drop("interval")
+        newest = F.max_by(F.struct(*SUMMARY_NAMES), "interval").alias("_newest")
+        over = seen.filter(F.col("block") < until).groupBy(*pair).agg(newest).select(*pair, "_newest.*")
         state["closed"] = [self._write(joined_summaries(base.unionByName(over), self.lags), f"{here}/closed")]
         state["sums"] = (state["sums"] or []) + [
             self._write(over.withColumn("batch_id", F.lit(state["batch_id"]).cast("bigint")).select(*pair, "batch_id", *SUMMARY_NAMES), f"{here}/sums")

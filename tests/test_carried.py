@@ -1,12 +1,14 @@
 import os
+from contextlib import nullcontext
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallycast.functions import stretches
 from tallycast.operators import lagsums, refit, series, triggers
 from tallycast.session import materialize
-from tallycast.streaming import manifest
+from tallycast.streaming import carried, manifest
 from tallycast.streaming.carried import CarriedRefit
 from tests.test_series import shuffled_events
 
@@ -101,3 +103,48 @@ def test_exact_models_from_carried_state(spark, make_events, tmp_path):
     for key, row in mine.items():
         assert (row.status, row.n, row.last_ts) == (want[key].status, want[key].n, want[key].last_ts)
         assert row.phi is None or np.allclose(row.phi, want[key].phi, atol=1e-7)
+
+
+def test_a_refit_works_out_what_changed(spark, make_events, tmp_path, monkeypatch):
+    """A batch of many blocks and refits, with late events: a row per block and refit that saw news of it, not one for each with each."""
+    rows = [(k, ts) for k, ts in shuffled_events(4000, n=1500, seed=5) if k]
+    events = make_events(rows)
+    made = {}
+
+    def kept(df, label="table"):
+        made[label] = materialize(df, label)
+        return made[label]
+
+    monkeypatch.setattr(carried, "materialize", kept)
+    monkeypatch.setattr(carried, "scratch_scope", lambda spark: nullcontext())
+    live = CarriedRefit(str(tmp_path / "live"), bits=4)
+    live.process(events, 0)
+    assert plain(live.models(spark)) == wanted(events)
+    changes = made["pieces"].select("key", "interval").distinct().count()
+    blocks, refits = made["pieces"].select("key").distinct().count(), made["triggers"].count()
+    assert made["seen"].count() == changes < blocks * refits
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_versions_of_joined_blocks(seed):
+    """Versions worked out by block and joined equal each version's own fold."""
+    random = np.random.default_rng(seed)
+    lags, width = int(random.integers(1, 6)), int(random.choice([1, 2, 7, 40]))
+    changes = [(int(random.integers(0, 12)), int(random.integers(0, 60)), float(random.integers(0, 100))) for _ in range(50)]
+    changes = sorted({(at, minute): (at, minute, total) for at, minute, total in changes}.values())
+    blocks = []
+    for block in range(60 // width + 1):
+        own = [x for x in changes if x[1] // width == block]
+        if own:
+            blocks.append(stretches.versions_of(*(np.array(column) for column in zip(*own)), lags))
+    at, found = stretches.fold_versions(blocks)
+    assert at.tolist() == sorted({x[0] for x in changes})
+    back = dict(zip(lagsums.SUMMARY_NAMES, lagsums.summary_arrays(found)))
+    again = lagsums.stretches_of(back, lags)
+    for i, interval in enumerate(at):
+        last = {minute: total for seen, minute, total in changes if seen <= interval}
+        want = stretches.fold([stretches.point(minute, last[minute], lags) for minute in sorted(last)])
+        got = lagsums.stretch_of({name: column[i].as_py() for name, column in back.items()}, lags)
+        for name in lagsums.SUMMARY_NAMES:
+            assert np.array_equal(getattr(got, name), getattr(want, name)), name
+            assert np.array_equal(getattr(again, name), getattr(found, name)), name
